@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonalith.llm import chat, decontam, mixing, sharding, token_count, token_file, toxicity
+from zonalith.llm import ann, chat, decontam, mixing, sharding, token_count, token_file, toxicity
 from zonalith.session import reach_workers, staged
 
 SHARDS = 24
@@ -22,6 +22,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     out = token_count.count_tokens(docs, tokenizer_path(PIECE_MODEL))
@@ -103,4 +107,4 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_chat_format, op5_external_shuffle, op6_token_file, op7_mixing, op8_toxicity, op9_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_adaptive_scan, op3_token_counts, op4_chat_format, op5_external_shuffle, op6_token_file, op7_mixing, op8_toxicity, op9_decontamination)}
