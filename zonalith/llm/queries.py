@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonalith.llm import ann, chat, decontam, mixing, sharding, token_count, token_file, toxicity
+from zonalith.llm import ann, chat, decontam, jaccard, mixing, sharding, token_count, token_file, toxicity
 from zonalith.session import reach_workers, staged
 
 SHARDS = 24
@@ -107,4 +107,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_adaptive_scan, op3_token_counts, op4_chat_format, op5_external_shuffle, op6_token_file, op7_mixing, op8_toxicity, op9_decontamination)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_adaptive_scan, op3_token_counts, op4_chat_format, op5_external_shuffle, op6_token_file, op7_mixing, op8_toxicity, op9_decontamination, op10_jaccard_join)}
