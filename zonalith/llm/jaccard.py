@@ -20,7 +20,7 @@ documents without words, or with a null id, keep their own id as component unles
 result; other columns are not carried.
 
 Scale: texts are never shuffled; each pass reads them where they are and hashes anew. The sketch (2 ** SKETCH_BITS
-counters) and the filter of shared shingles (2 ** FILTER_BITS bits) are of fixed size; a full filter lets more through and loses nothing.
+counters) and the filter of shared shingles are of fixed size; a full filter lets more through and loses nothing.
 Copies are one node, emitted once by each task. Probing sets and their candidates meet in chunks of about `chunk` sets.
 """
 
@@ -32,14 +32,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from zonalith.llm import words as W
+from zonalith.llm import filters, words as W
 from zonalith.llm.graph import components
 from zonalith.session import reach_workers, staged
 
 N, NUM, DEN = 5, 80, 100
 SKETCH_BITS, SLICE_BITS = 21, 15
-FILTER_BITS, BUCKET_BITS = 27, 8
-FLUSH = 1 << 21
 CHUNK = 256
 U64 = np.uint64
 
@@ -124,57 +122,18 @@ def shared_filter(docs: DataFrame, levels, n: int) -> np.ndarray:
     """Bits of the shingles that stand in the prefixes of two nodes or more."""
 
     def emit(batches):
-        seen, tokens, nodes, held = set(), [], [], 0
-
-        def flush():
-            t, o = np.concatenate(tokens), np.concatenate(nodes)
-            order = np.argsort(t)
-            t, o = t[order], o[order]
-            cut = np.searchsorted(t >> U64(64 - BUCKET_BITS), np.arange((1 << BUCKET_BITS) + 1).astype(U64))
-            full = np.flatnonzero(np.diff(cut))
-            return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([t[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary()), pa.array([o[cut[b] : cut[b + 1]].tobytes() for b in full], pa.binary())], names=["bucket", "tokens", "nodes"])
-
+        seen, packer = set(), filters.Packer()
         for batch in batches:
             for _, s in sets_of(batch.column("text"), n):
                 if len(s) and (node := node_of(s)) not in seen:
                     seen.add(node)
                     p = ordered(s, levels.value)[: prefix_length(len(s))]
-                    tokens.append(p)
-                    nodes.append(np.full(len(p), node, np.int64))
-                    held += len(p)
-                    if held >= FLUSH:
-                        yield flush()
-                        tokens, nodes, held = [], [], 0
-        if held:
-            yield flush()
-
-    def find(batches):
-        """For each bucket, the tokens so far with a node of each, and whether there was another."""
-        known: dict[int, tuple] = {}
-        for batch in batches:
-            for b, t, o in zip(*(batch.column(c).to_pylist() for c in ("bucket", "tokens", "nodes")), strict=True):
-                t, o = np.frombuffer(t, U64), np.frombuffer(o, np.int64)
-                multi = np.zeros(len(t), bool)
-                if b in known:
-                    t, o, multi = (np.concatenate([x, y]) for x, y in zip(known[b], (t, o, multi), strict=True))
-                order = np.argsort(t, kind="stable")
-                t, o, multi = t[order], o[order], multi[order]
-                new = np.concatenate([[True], t[1:] != t[:-1]])
-                at = np.flatnonzero(new)
-                same = o == o[at][np.cumsum(new) - 1]
-                known[b] = t[at], o[at], np.logical_or.reduceat(multi | ~same, at)
-        for b, (t, _, multi) in known.items():
-            bits = np.zeros(1 << (FILTER_BITS - BUCKET_BITS), bool)
-            bits[((t[multi] >> U64(64 - FILTER_BITS)) & U64((1 << (FILTER_BITS - BUCKET_BITS)) - 1)).astype(np.int64)] = True
-            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bucket", "bits"])
-
-    made = docs.mapInArrow(emit, "bucket int, tokens binary, nodes binary")
-    made = made.repartition(1 << BUCKET_BITS, "bucket").mapInArrow(find, "bucket int, bits binary")
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    width = len(out) >> BUCKET_BITS
-    for b, bits in made.collect():
-        out[b * width : (b + 1) * width] = np.frombuffer(bits, np.uint8)
-    return out
+                    if packer.add(p, np.full(len(p), node, np.int64)):
+                        yield packer.flush()
+        if packer.held:
+            yield packer.flush()
+
+    return filters.shared_bits(docs.mapInArrow(emit, filters.PACKED))
 
 
 def candidates(docs: DataFrame, levels, bits, n: int) -> DataFrame:
@@ -190,8 +149,7 @@ def candidates(docs: DataFrame, levels, bits, n: int) -> DataFrame:
                 seen.add(node)
                 s = ordered(s, levels.value)
                 p = s[: prefix_length(len(s))]
-                at = (p >> U64(64 - FILTER_BITS)).astype(np.int64)
-                p = p[(bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
+                p = p[filters.inside(bits.value, p)]
                 if len(p):
                     rows.append((node, len(s), p.view(np.int64).tolist(), s[::-1].tobytes()))
             if rows:

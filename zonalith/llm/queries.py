@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from zonalith.llm import ann, chat, decontam, jaccard, mixing, sharding, token_count, token_file, toxicity
+from zonalith.llm import ann, chat, decontam, jaccard, mixing, sharding, substring, token_count, token_file, toxicity
 from zonalith.session import reach_workers, staged
 
 SHARDS = 24
@@ -22,6 +22,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = substring.dedup(docs)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -112,4 +118,4 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(docs).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_adaptive_scan, op3_token_counts, op4_chat_format, op5_external_shuffle, op6_token_file, op7_mixing, op8_toxicity, op9_decontamination, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_adaptive_scan, op3_token_counts, op4_chat_format, op5_external_shuffle, op6_token_file, op7_mixing, op8_toxicity, op9_decontamination, op10_jaccard_join)}
