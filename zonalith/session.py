@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -37,6 +38,18 @@ def reach_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *parts])
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Fewer rows in an Arrow batch, for what runs inside: workers with much of their own to hold need the room."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset and Spark is local."""
     global _own_dir
