@@ -6,7 +6,7 @@ goes when it is in a window whose words also start earlier: in a document of a s
 Routing. A window's minimizer is the least hash of the k-grams in it; equal windows have equal minimizers. Consecutive
 windows of one minimizer make a segment, and a segment belongs to the shard of its minimizer, so all places of a window
 meet in one shard and no document is held against every shard. Segments whose minimizer stands once in the corpus have
-no equal window anywhere and go no further (a bit filter of fixed size tells; what it lets through in vain costs time
+no equal window anywhere and go no further (a bit filter tells; what it lets through in vain costs time
 only). Equal segments of a task are sent once, the earliest; the others are repeats already.
 
 Shard. The words of its distinct segments are one sequence; its FM-index holds the Burrows-Wheeler transform in a wavelet
@@ -30,13 +30,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from zonalith.llm import filters, words as W
-from zonalith.session import reach_workers, staged
+from zonalith.session import reach_workers, small_batches, staged
 
 N, K = 20, 6
-MOST_WINDOWS, SHARD_BYTES, FLUSH_SEGMENTS = 64, 8 << 20, 200_000
+MOST_WINDOWS, SHARD_BYTES, FLUSH_SEGMENTS = 64, 2 << 20, 60_000
 LAST_ID = (1 << 63) - 1
 U64 = np.uint64
 INVERSE = U64(pow(int(W.WORD_BASE), -1, 1 << 64))
@@ -79,9 +80,9 @@ def digests(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarr
     return out[0], out[1]
 
 
-def minimizer_filter(docs: DataFrame, n: int, k: int) -> np.ndarray:
+def minimizer_filter(docs: DataFrame, shape: filters.Shape, n: int, k: int) -> np.ndarray:
     def emit(batches):
-        packer = filters.Packer()
+        packer = filters.Packer(shape)
         for batch in batches:
             for _, _, data, at in W.slices(batch.column("text")):
                 w = W.find(data, at, W.SPACED_MASK)
@@ -92,11 +93,11 @@ def minimizer_filter(docs: DataFrame, n: int, k: int) -> np.ndarray:
                 places = np.repeat(at, span) + np.arange(int(span.sum())) - np.repeat(begin, span)
                 twice = np.add.reduceat((g[places] == np.repeat(low, span)).astype(np.int32), begin) > 1 if len(at) else np.zeros(0, bool)
                 if len(low) and packer.add(np.concatenate([low, low[twice]])):
-                    yield packer.flush()
+                    yield from packer.flush()
         if packer.held:
-            yield packer.flush()
+            yield from packer.flush()
 
-    return filters.shared_bits(docs.mapInArrow(emit, filters.PACKED))
+    return filters.shared_bits(docs.mapInArrow(emit, filters.PACKED), shape)
 
 
 RANGES = "id long, h long, start int, windows int"
@@ -105,7 +106,7 @@ FIELDS = [f.split(" ")[0] for f in ROUTED.split(", ")]
 
 
 def route(docs: DataFrame, bits, shards: int, n: int, k: int) -> DataFrame:
-    """Rows of two kinds: packed segments for a shard, and (shard null) ranges of windows that repeat an equal segment of the task."""
+    """Rows of two kinds: packed segments for a shard, and (words null, any shard) ranges of windows that repeat an equal segment of the task."""
     shift = U64(64 - int(math.log2(shards)))
 
     def emit(batches):
@@ -124,7 +125,7 @@ def route(docs: DataFrame, bits, shards: int, n: int, k: int) -> DataFrame:
             again = (ids[order] != ids[lead]) | (start[order] != start[lead])
             late = order[again]
             if len(late):
-                yield batch_of(ranges=(ids[late], hs[late], start[late], size[late]))
+                yield batch_of(ranges=(ids[late], hs[late], start[late], size[late], hs[late] & (shards - 1)))
             keep = order[~again]
             shard = (low[keep] >> shift).astype(np.int64) if shards > 1 else np.zeros(len(keep), np.int64)
             by = np.argsort(shard, kind="stable")
@@ -169,8 +170,8 @@ def batch_of(ranges: tuple | None = None, rows: list | None = None) -> pa.Record
     k = len(ranges[0]) if ranges else len(rows)
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 5]
     if ranges:
-        own = [pa.array(x, t) for x, t in zip((ranges[0], ranges[1], ranges[2].astype(np.int32), ranges[3].astype(np.int32)), kinds, strict=False)]
-        return pa.RecordBatch.from_arrays([*own, *[pa.nulls(k, t) for t in kinds[4:]]], names=FIELDS)
+        own = [pa.array(x.astype(np.int32) if t == pa.int32() else x, t) for x, t in zip(ranges, kinds, strict=False)]
+        return pa.RecordBatch.from_arrays([*own, *[pa.nulls(k, t) for t in kinds[5:]]], names=FIELDS)
     own = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds[4:], strict=True)]
     return pa.RecordBatch.from_arrays([*[pa.nulls(k, t) for t in kinds[:4]], *own], names=FIELDS)
 
@@ -292,12 +293,16 @@ def repeats(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words: np.nd
 
 
 def search(routed: DataFrame, shards: int, n: int) -> DataFrame:
-    """The ranges of windows that stand earlier too, by shard."""
+    """The ranges of windows that stand earlier too: those found in each shard, and those known before."""
 
     def run(batches):
         parts: dict[int, list] = {}
         for batch in batches:
-            for row in batch.to_pylist():
+            known = pc.is_null(batch.column("words"))
+            done = batch.filter(known)
+            if done.num_rows:
+                yield pa.RecordBatch.from_arrays(done.columns[:4], names=FIELDS[:4])
+            for row in batch.filter(pc.invert(known)).select(FIELDS[4:]).to_pylist():
                 parts.setdefault(row["shard"], []).append(row)
         for shard in list(parts):
             rows = parts.pop(shard)
@@ -341,8 +346,7 @@ def search(routed: DataFrame, shards: int, n: int) -> DataFrame:
             for i, h, st, m in out:
                 yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(h), pa.array(st.astype(np.int32)), pa.array(m.astype(np.int32))], names=["id", "h", "start", "windows"])
 
-    packed = routed.where("shard is not null").select("shard", "ids", "hs", "starts", "counts", "words")
-    return packed.repartitionById(shards, F.col("shard")).mapInArrow(run, RANGES)
+    return routed.repartitionById(shards, F.col("shard")).mapInArrow(run, RANGES)
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, k: int = K, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -352,9 +356,9 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h"), F.col(text_col).alias("text"))
     total = own.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
     shards = 1 << max(4, math.ceil(math.log2(max(total / shard_bytes, 1))))
-    bits = spark.sparkContext.broadcast(minimizer_filter(own, n, k))
-    routed = staged(route(own, bits, shards, n, k), "segments")
-    found = search(routed, shards, n).unionByName(routed.where("shard is null").select("id", "h", "start", "windows"))
+    with small_batches(spark, 2000):
+        bits = spark.sparkContext.broadcast(minimizer_filter(own, filters.shape_for(total), n, k))
+        found = staged(search(route(own, bits, shards, n, k), shards, n), "ranges")
     ranges = found.distinct().groupBy("id", "h").agg(F.collect_list(F.struct("start", "windows")).alias("ranges"))
     out = own.join(ranges, ["id", "h"], "left")
     return out.select(F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), "text", "ranges")
@@ -365,27 +369,24 @@ def cut(found: DataFrame, n: int = N) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            ranges = batch.column("ranges").to_pylist()
+            ranges = batch.column("ranges")
             for lo, hi, data, docs in W.slices(batch.column("text")):
                 w = W.find(data, docs, W.SPACED_MASK, hashed=False)
-                raw = data.tobytes()
-                for d in range(hi - lo):
-                    a, b = int(w.of[d]), int(w.of[d + 1])
+                raw, n_removed, kept = data.tobytes(), [], []
+                for d, gone in enumerate(ranges.slice(lo, hi - lo).to_pylist()):
                     words = raw[docs[d] : docs[d + 1]].split()
-                    n_words.append(b - a)
                     removed = 0
-                    if ranges[lo + d]:
-                        gone = np.zeros(b - a + 1, np.int32)
-                        for r in ranges[lo + d]:
-                            gone[r["start"]] += 1
-                            gone[r["start"] + r["windows"] + n - 1] -= 1
-                        stay = np.cumsum(gone[:-1]) == 0
+                    if gone:
+                        edge = np.zeros(len(words) + 1, np.int32)
+                        for r in gone:
+                            edge[r["start"]] += 1
+                            edge[r["start"] + r["windows"] + n - 1] -= 1
+                        stay = np.cumsum(edge[:-1]) == 0
                         removed = int(len(stay) - stay.sum())
                         words = [x for x, s in zip(words, stay.tolist(), strict=True) if s]
                     n_removed.append(removed)
                     kept.append(b" ".join(words).decode())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(w.of).astype(np.int64)), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
     return found.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 

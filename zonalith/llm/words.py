@@ -14,7 +14,7 @@ import pyarrow as pa
 U64 = np.uint64
 #: Odd multipliers: within a word, and from word to word.
 BYTE_BASE, WORD_BASE = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
