@@ -25,7 +25,7 @@ def latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return df.groupBy(key).agg(best).select(key, "best.*")
 
 
-def trend(df: DataFrame, key: str, date: str, value: str, tie: str, window_days: int = C.TREND_WINDOW_DAYS) -> DataFrame:
+def trend(df: DataFrame, key: str, date: str, value: str, tie: str, window_days: int = C.TREND_WINDOW_DAYS, digits: int = 5) -> DataFrame:
     """AG10b, WN5: slope per day over the last window (or the last three points), its direction, points, span and change."""
     own = df.where(F.col(value).isNotNull() & F.col(date).isNotNull()).select(key, F.col(date).alias("d"), F.col(value).alias("v"), F.col(tie).alias("t"))
     by = Window.partitionBy(key)
@@ -47,7 +47,7 @@ def trend(df: DataFrame, key: str, date: str, value: str, tie: str, window_days:
         word = F.when(below, name).otherwise(word)
     return g.select(
         key,
-        F.when(enough, F.round("slope", 5)).alias("slope_per_day"),
+        F.when(enough, F.round("slope", digits)).alias("slope_per_day"),
         F.when(enough, word).otherwise("insufficient_data").alias("direction"),
         "n_points",
         F.when(F.col("all") >= 3, F.col("span").cast("double")).alias("span_days"),
