@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from zonalith.llm import words as W
-from zonalith.session import reach_workers, staged
+from zonalith.session import reach_workers, small_batches, staged
 
-BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 32 << 20, 800_000
+BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 32 << 20, 700_000
 HEADER = 7
-STOP = re.compile(rb"(?<=[a-z])([.,])(?=[ \t-\r]|\Z)")
+LETTER = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
+STOP = re.compile(rb"(?:" + LETTER + rb")[.,]\Z")
+PLAIN = re.compile(rb"(?:" + LETTER + rb")+")
 SEGMENTS = "part int, seq int, at long, n_ids long, doc_ids array<long>, lengths array<long>, blocks binary, payload binary"
 
 
@@ -116,41 +119,74 @@ def decode_blocks(blocks: bytes, payload: bytes, n_ids: int) -> np.ndarray:
 
 class WordEncoder:
     """Ids of texts as the library gives them, a word at a time: its rules cut at white space, so a text's ids are those
-    of its words (runs of anything but ASCII white space) one after another."""
+    of its words (runs of anything but ASCII white space) one after another. Words of lower-case Latin-1 letters pass
+    the rules unchanged and go to a copy of the tokenizer without them."""
 
     def __init__(self, tokenizer_file: str, cache_words: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer, self.cache, self.most = Tokenizer.from_file(tokenizer_file), {}, cache_words
+        self.tokenizer, self.plain = Tokenizer.from_file(tokenizer_file), Tokenizer.from_file(tokenizer_file)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.cache, self.most = Cache(), cache_words
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian u32."""
-        if len(self.cache) > self.most:
-            self.cache.clear()
         cache = self.cache
-        # Letter case and a stop behind an ASCII letter are the rules' own cuts; taken here, they make fewer distinct words.
-        split = [(t if b"<|" in t else STOP.sub(rb" \1", t.lower())).split() for t in texts]
-        got = [[*map(cache.get, words)] for words in split]
-        short = [k for k, ids in enumerate(got) if None in ids]
-        new = list({w for k in short for w, ids in zip(split[k], got[k], strict=True) if ids is None})
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            made = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(made.ids, dtype="<u4")
-            cut = np.searchsorted(np.array(made.word_ids, dtype=np.int64), np.arange(len(part) + 1))
-            raw = ids.tobytes()
-            cache.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, cut[:-1].tolist(), cut[1:].tolist(), strict=True))
+        if len(cache) > self.most:
+            cache.clear()
+        split, got, short = [], [], []
+        for k, t in enumerate(texts):
+            # The rules make letters small; done here, it makes fewer distinct words.
+            words, before = (t if b"<|" in t else t.lower()).split(), len(cache.new)
+            split.append(words)
+            got.append([*map(cache.__getitem__, words)])
+            if len(cache.new) > before or None in got[k]:
+                short.append(k)
+        if short:
+            self._learn()
         for k in short:
             got[k] = map(cache.__getitem__, split[k])
         return [b"".join(ids) for ids in got]
 
+    def _learn(self) -> None:
+        """Encode the words asked for in vain. A stop behind a letter is a cut, too: such a word is its letters' ids and the stop's."""
+        cache, new = self.cache, self.cache.new
+        stopped = {w: w[:-1] for w in new if STOP.search(w)}
+        bases = (new - stopped.keys()) | {b for b in stopped.values() if b not in cache} | {b".", b","}
+        plain = {w for w in bases if PLAIN.fullmatch(w)}
+        for tokenizer, own in ((self.plain, [*plain]), (self.tokenizer, [*(bases - plain)])):
+            for lo in range(0, len(own), 1024):
+                part = own[lo : lo + 1024]
+                made = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
+                cache.update([(w, array("I", e.ids).tobytes()) for w, e in zip(part, made, strict=True)])
+        cache.update([(w, cache[b] + cache[w[-1:]]) for w, b in stopped.items()])
+        new.clear()
+
+
+class Cache(dict):
+    """Ids by word; notes words it does not have."""
+
+    def __init__(self):
+        self.new: set[bytes] = set()
+
+    def __missing__(self, word: bytes) -> None:
+        self.new.add(word)
+
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+def encoder_for(tokenizer_file: str) -> WordEncoder:
+    """This worker's encoder, kept from task to task."""
+    if tokenizer_file not in _encoders:
+        _encoders[tokenizer_file] = WordEncoder(tokenizer_file)
+    return _encoders[tokenizer_file]
+
+
 def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Encode all texts, write them as segments and give the table of segments as read back."""
     reach_workers(df.sparkSession)
@@ -162,9 +198,7 @@ def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str
     own = own.sortWithinPartitions(F.col("id").asc_nulls_first(), "tie").select("id", "text")
 
     def run(batches):
-        encoder = _encoders.get(tokenizer_file)
-        if encoder is None:
-            encoder = _encoders[tokenizer_file] = WordEncoder(tokenizer_file)
+        encoder = encoder_for(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
         part, seq, at = TaskContext.get().partitionId(), 0, 0
         ids: list = []
@@ -194,7 +228,8 @@ def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str
         if held:
             yield segment()
 
-    return staged(own.mapInArrow(run, SEGMENTS), "tokens")
+    with small_batches(df.sparkSession, 1000):
+        return staged(own.mapInArrow(run, SEGMENTS), "tokens")
 
 
 def read_documents(segments: DataFrame) -> DataFrame:
