@@ -234,6 +234,13 @@ def codes_of(machine: Transducer, data: np.ndarray, docs: np.ndarray) -> tuple[n
 _machines: dict[str, Transducer] = {}
 
 
+def machine_for(model_file: str, max_states: int) -> Transducer:
+    """This worker's machine, kept from task to task."""
+    if model_file not in _machines:
+        _machines[model_file] = Transducer(model_file, max_states)
+    return _machines[model_file]
+
+
 def count_tokens(df: DataFrame, model_file: str, text_col: str = "text", out_col: str = "n_tokens", chunk: int = CHUNK, max_states: int = MAX_STATES) -> DataFrame:
     """df with the number of tokens of each whole text last."""
     reach_workers(df.sparkSession)
@@ -242,9 +249,7 @@ def count_tokens(df: DataFrame, model_file: str, text_col: str = "text", out_col
     text = inner[df.columns.index(text_col)]
 
     def run(batches):
-        machine = _machines.get(model_file)
-        if machine is None:
-            machine = _machines[model_file] = Transducer(model_file, max_states)
+        machine = machine_for(model_file, max_states)
         for batch in batches:
             counts = [np.zeros(0, np.int64)]
             for _, _, data, docs in W.slices(batch.column(batch.schema.names.index(text)), SLICE_BYTES):
