@@ -51,7 +51,8 @@ def spatial_group_key(lat: Column, lon: Column, fallback_lat: Column | None = No
 
 def fingerprint(rings: Column, digits: int = 7) -> Column:
     """PRJ20: 16 hex digits of a canonical text of the snapped coordinates; rings are arrays of (x, y)."""
-    point = lambda p: F.concat_ws(" ", F.format_number(p["x"], f"0.{'0' * digits}"), F.format_number(p["y"], f"0.{'0' * digits}"))
+    snapped = lambda x: F.call_function("format_number", x, F.lit(f"0.{'0' * digits}"))
+    point = lambda p: F.concat_ws(" ", snapped(p["x"]), snapped(p["y"]))
     text = F.array_join(F.transform(rings, lambda r: F.array_join(F.transform(r, point), ",")), ";")
     return F.substring(F.sha1(text.cast("binary")), 1, 16)
 
