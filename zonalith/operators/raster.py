@@ -59,11 +59,12 @@ def regrid_bilinear(cells: DataFrame, keys: list[str], value: str = "value") ->
     """GE6 for bands, 2:1: weights of the four nearest coarse centres, over those that are there."""
     offsets = [(dr, dc) for dr in (-1, 0, 1, 2) for dc in (-1, 0, 1, 2)]
     weight = {-1: 0.25, 0: 0.75, 1: 0.75, 2: 0.25}
-    items = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(weight[dr] * weight[dc]).alias("k")) for dr, dc in offsets])
-    d = cells.where(F.col(value).isNotNull()).withColumn("o", F.explode(items))
-    d = d.select(*keys, (F.col("row") * 2 + F.col("o.dr")).alias("row"), (F.col("col") * 2 + F.col("o.dc")).alias("col"), F.col(value).alias("v"), F.col("o.k").alias("k"), ((F.col("o.dr").between(0, 1)) & (F.col("o.dc").between(0, 1))).alias("own"))
-    out = d.groupBy(*keys, "row", "col").agg((F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias(value), F.max("own").alias("own"))
-    return out.where("own").drop("own")
+    items = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"), F.lit(weight[dr] * weight[dc]).alias("share")) for dr, dc in offsets])
+    d = cells.where(F.col(value).isNotNull()).withColumn("_o", F.explode(items))
+    own = F.col("_o.dr").between(0, 1) & F.col("_o.dc").between(0, 1)
+    d = d.select(*keys, (F.col("row") * 2 + F.col("_o.dr")).alias("row"), (F.col("col") * 2 + F.col("_o.dc")).alias("col"), F.col(value).alias("_v"), F.col("_o.share").alias("_share"), own.alias("_own"))
+    out = d.groupBy(*keys, "row", "col").agg((F.sum(F.col("_v") * F.col("_share")) / F.sum("_share")).alias(value), F.max("_own").alias("_own"))
+    return out.where("_own").drop("_own")
 
 
 def png(rgba: np.ndarray) -> bytes:
