@@ -4,9 +4,9 @@ Words are runs of anything but ASCII white space, A-Z lower-cased. A document's
 with fewer words, the whole sequence as one; without words nothing, and it links with nothing. Shingles are 64-bit
 hashes; documents of equal sets are one node from the start (a set is told by 64 bits of all its shingles).
 
-Method. All shingles stand in one global order, rare before frequent, then by hash; frequency comes from a count sketch
-over all documents. Sets that reach the threshold share a shingle among the first n - ceil(0.8 n) + 1 of each, so only
-nodes under a common prefix shingle are compared. They are compared by a prefix-tree join: the ordered sets, most
+Method. All shingles stand in one global order: those of one document alone, then the others, rare before frequent, then
+by hash. What stands in several documents is told by a bit filter, frequency by a count sketch, both over all documents. Sets that reach the threshold share a shingle among the first n - ceil(0.8 n) + 1 of each, so only
+nodes under a common prefix shingle are compared, and of those only pairs that can still share enough from there on. They are compared by a prefix-tree join: the ordered sets, most
 frequent first so that copies share their paths, stand in a trie - as a sorted list with the depth each shares with the
 one before - which is walked once for each probing set. Overlaps counted on a shared path are kept, and a subtree is left
 as soon as what remains of its sets cannot reach the overlap needed. Every link is decided on whole sets.
@@ -20,7 +20,7 @@ documents without words, or with a null id, keep their own id as component unles
 result; other columns are not carried.
 
 Scale: texts are never shuffled; each pass reads them where they are and hashes anew. The sketch (2 ** SKETCH_BITS
-counters) and the filter of shared shingles are of fixed size; a full filter lets more through and loses nothing.
+counters) and the bit filters are of bounded size; a full filter only lets more through.
 Copies are one node, emitted once by each task. Probing sets and their candidates meet in chunks of about `chunk` sets.
 """
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from zonalith.llm import filters, words as W
 from zonalith.llm.graph import components
-from zonalith.session import reach_workers, staged
+from zonalith.session import drop_staged, reach_workers, staged
 
 N, NUM, DEN = 5, 80, 100
 SKETCH_BITS, SLICE_BITS = 21, 15
@@ -112,32 +112,53 @@ def levels_of(sketch: DataFrame) -> np.ndarray:
     return out
 
 
-def ordered(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A set in the global order, rare first."""
-    level = levels[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+def ordered(s: np.ndarray, order: tuple) -> np.ndarray:
+    """A set in the global order, rare first: shingles that stand in one node alone, then by frequency level, then by hash."""
+    levels, several = order
+    level = levels[(s >> U64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.int16) + 1
+    level[~filters.inside(several, s)] = 0
     return s[np.argsort(level, kind="stable")]
 
 
-def shared_filter(docs: DataFrame, levels, n: int) -> np.ndarray:
+def several_filter(docs: DataFrame, shape: filters.Shape, n: int) -> np.ndarray:
+    """Bits of all shingles that stand in two documents or more, those of a task's equal sets once."""
+
+    def emit(batches):
+        seen, packer = set(), filters.Packer(shape)
+        for batch in batches:
+            for _, s in sets_of(batch.column("text"), n):
+                if len(s) and (node := node_of(s)) not in seen:
+                    seen.add(node)
+                    if packer.add(s):
+                        yield from packer.flush()
+        if packer.held:
+            yield from packer.flush()
+
+    return filters.shared_bits(docs.mapInArrow(emit, filters.PACKED), shape)
+
+
+def prefix_filter(docs: DataFrame, order, shape: filters.Shape, n: int) -> np.ndarray:
     """Bits of the shingles that stand in the prefixes of two nodes or more."""
 
     def emit(batches):
-        seen, packer = set(), filters.Packer()
+        seen, packer = set(), filters.Packer(shape)
         for batch in batches:
             for _, s in sets_of(batch.column("text"), n):
                 if len(s) and (node := node_of(s)) not in seen:
                     seen.add(node)
-                    p = ordered(s, levels.value)[: prefix_length(len(s))]
-                    if packer.add(p, np.full(len(p), node, np.int64)):
-                        yield packer.flush()
+                    p = ordered(s, order.value)[: prefix_length(len(s))]
+                    p = p[filters.inside(order.value[1], p)]
+                    if len(p) and packer.add(p, np.full(len(p), node, np.int64)):
+                        yield from packer.flush()
         if packer.held:
-            yield packer.flush()
+            yield from packer.flush()
 
-    return filters.shared_bits(docs.mapInArrow(emit, filters.PACKED))
+    return filters.shared_bits(docs.mapInArrow(emit, filters.PACKED), shape)
 
 
-def candidates(docs: DataFrame, levels, bits, n: int) -> DataFrame:
-    """(node, n, tokens, set) of the nodes with a prefix shingle in the filter: those shingles, and the whole set, most frequent first."""
+def candidates(docs: DataFrame, order, bits, n: int) -> DataFrame:
+    """(node, n, tokens, places, set) of the nodes with a prefix shingle in the filter: those shingles, where they stand, and the
+    whole set, most frequent first."""
 
     def run(batches):
         seen = set()
@@ -147,16 +168,16 @@ def candidates(docs: DataFrame, levels, bits, n: int) -> DataFrame:
                 if not len(s) or (node := node_of(s)) in seen:
                     continue
                 seen.add(node)
-                s = ordered(s, levels.value)
+                s = ordered(s, order.value)
                 p = s[: prefix_length(len(s))]
-                p = p[filters.inside(bits.value, p)]
-                if len(p):
-                    rows.append((node, len(s), p.view(np.int64).tolist(), s[::-1].tobytes()))
+                at = np.flatnonzero(filters.inside(order.value[1], p) & filters.inside(bits.value, p))
+                if len(at):
+                    rows.append((node, len(s), p[at].view(np.int64).tolist(), at.tolist(), s[::-1].tobytes()))
             if rows:
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["node", "n", "tokens", "set"])
+                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["node", "n", "tokens", "places", "set"])
 
-    return docs.mapInArrow(run, "node long, n long, tokens array<long>, set binary")
+    return docs.mapInArrow(run, "node long, n long, tokens array<long>, places array<long>, set binary")
 
 
 def walk(probe: np.ndarray, sets: list[np.ndarray]) -> list[bool]:
@@ -219,24 +240,37 @@ def verify(pairs: DataFrame, sets: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def link_nodes(sets: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFrame | None:
-    """(node, comp) of the linked nodes. groups: (token, node, n) of prefix shingles that several nodes share."""
+def live(groups: DataFrame) -> DataFrame:
+    """Groups that still hold several components, with those members that can link. A member whose shingle stands at `place` can
+    share n - place shingles at most, so its partner has at most `most` shingles; of two that link, the smaller is `strong`
+    (most >= n), and the other has room for it."""
+    least = groups.groupBy("token").agg(F.min(F.when(F.col("most") >= F.col("n"), F.col("n"))).alias("least"))
+    own = groups.join(least, "token").where("most >= n or most >= least").drop("least")
+    open_ = own.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.bool_or(F.col("most") >= F.col("n")).alias("ok")).where("x < y and ok").select("token")
+    return own.join(open_, "token", "left_semi")
+
+
+def link_nodes(sets: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(node, comp) of the linked nodes. groups: (token, node, n, place) of prefix shingles that several nodes share."""
+    most = F.floor((NUM + DEN) * (F.col("n") - F.col("place")) / NUM) - F.col("n")
     links, comp, probes = None, None, 1
-    groups = groups.withColumn("comp", F.col("node"))
+    groups = staged(live(groups.withColumn("most", most).withColumn("comp", F.col("node"))), "groups")
     while True:
-        # Each group's probes: the least node of each of `probes` hash classes.
-        lead = groups.withColumn("class", F.pmod(F.xxhash64("node"), F.lit(probes))).groupBy("token", "class").agg(F.min(F.struct("node", "n", "comp")).alias("p"))
-        lead = lead.select("token", F.col("p.node").alias("a"), F.col("p.n").alias("an"), F.col("p.comp").alias("ac"))
-        near = (F.least("n", "an") * DEN >= F.greatest("n", "an") * NUM) & (F.col("comp") != F.col("ac"))
-        pairs = groups.join(lead, "token").where(near).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        new = staged(verify(staged(pairs, "pairs"), sets, chunk), "links")
+        # Each group's probes: of each of `probes` hash classes the strong member with fewest shingles, nearest the front.
+        lead = groups.where("most >= n").withColumn("class", F.pmod(F.xxhash64("node"), F.lit(probes)))
+        lead = lead.groupBy("token", "class").agg(F.min(F.struct("n", "place", "node", "comp", "most")).alias("p"))
+        lead = lead.select("token", F.col("p.node").alias("a"), F.col("p.n").alias("an"), F.col("p.comp").alias("ac"), F.col("p.most").alias("am"))
+        pairs = groups.join(lead, "token").where("comp <> ac and n <= am and an <= most").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        pairs = staged(pairs.distinct(), "pairs")
+        new = staged(verify(pairs, sets, chunk), "links")
+        drop_staged(pairs)
         links = new if links is None else links.unionByName(new)
         comp = staged(components(links), "components")
         # What the probes have been held against is done; the others go on while they are not all connected.
         rest = groups.drop("comp").join(lead.select("token", F.col("a").alias("node")), ["token", "node"], "left_anti")
-        rest = rest.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        open_ = rest.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("token")
-        groups = staged(rest.join(open_, "token", "left_semi"), "groups")
+        rest = live(rest.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        old, groups = groups, staged(rest, "groups")
+        drop_staged(old)
         if groups.isEmpty():
             return comp
         probes *= 2
@@ -249,13 +283,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     seen = staged(survey(own, n), "survey")
     rows = seen.where("slice is null").select("id", "node", "n")
-    levels = spark.sparkContext.broadcast(levels_of(seen.where("slice is not null").select("slice", "counts")))
-    bits = spark.sparkContext.broadcast(shared_filter(own, levels, n))
-    found = staged(candidates(own, levels, bits, n), "candidates").dropDuplicates(["node"])
-    found = staged(found, "sets")
-    entries = found.select(F.explode("tokens").alias("token"), "node", "n")
-    shared = entries.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y").select("token")
-    groups = staged(entries.join(shared, "token", "left_semi"), "groups")
+    total = own.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
+    shape = filters.shape_for(total)
+    levels = levels_of(seen.where("slice is not null").select("slice", "counts"))
+    order = spark.sparkContext.broadcast((levels, several_filter(own, shape, n)))
+    bits = spark.sparkContext.broadcast(prefix_filter(own, order, shape, n))
+    made = staged(candidates(own, order, bits, n), "candidates")
+    found = staged(made.dropDuplicates(["node"]), "sets")
+    drop_staged(made)
+    groups = found.select(F.explode(F.arrays_zip("tokens", "places")).alias("t"), "node", "n")
+    groups = groups.select(F.col("t.tokens").alias("token"), "node", "n", F.col("t.places").alias("place"))
     least = rows.where("n > 0").groupBy("node").agg(F.min("id").alias("least"))
     comp = link_nodes(found.select("node", "set"), groups, chunk)
     least = least.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
