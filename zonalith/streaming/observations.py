@@ -106,6 +106,7 @@ def new_scenes(batch: DataFrame, ledger: DataFrame, version: str, since: Column)
     return I.unseen(batch, ledger, version, since)
 
 
-def bounded_source(spark: SparkSession, path: str, schema, files: int = 8) -> DataFrame:
-    """SM7: a file stream that takes a bounded number of files a trigger."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def bounded_source(spark: SparkSession, path: str, schema, files: int = 8, name: str | None = None) -> DataFrame:
+    """SM7: a file stream that takes a bounded number of files a trigger; name: only files of this name (a glob)."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    return (reader if name is None else reader.option("pathGlobFilter", name)).parquet(path)
