@@ -29,8 +29,9 @@ from zonalith.llm import words as W
 from zonalith.session import reach_workers
 
 BITS = 20
-MAX_TRAIN, MAX_FEATURES, EPOCHS = 12_000, 20_000, 3
-ALPHA, BETA, L1, L2 = 0.25, 1.0, 2.0, 1.0
+MAX_TRAIN, MAX_FEATURES, EPOCHS = 12_000, 20_000, 5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.5
+MOST_UP = 2.0
 
 
 class Model(NamedTuple):
@@ -68,8 +69,8 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, epochs: i
         return Model(math.log(p / (1 - p)) if n else 0.0, np.zeros(0, np.int64), np.zeros(0), bits)
     z, g2 = np.zeros(1 << bits), np.zeros(1 << bits)
     zb, gb = 0.0, 0.0
-    # Rare positives weigh more, up to an even balance.
-    up = min((n - n_pos) / n_pos, 4.0)
+    # The rarer label weighs more, up to MOST_UP.
+    up = min((n - n_pos) / n_pos, MOST_UP)
     for _ in range(epochs):
         for slots, y in zip(rows, labels.tolist(), strict=True):
             zs, gs = z[slots], g2[slots]
