@@ -88,20 +88,16 @@ def coverage(rings: list[np.ndarray], x0: float, y0: float, size: float, rows: i
     MAX_COVERAGE_CELLS cells gets the binary target instead."""
     if rows * cols > C.MAX_COVERAGE_CELLS:
         return binary_target(rings, x0, y0, size, rows, cols)
-    out = np.zeros((rows, cols))
-    for sign, r in [(1, rings[0]), *[(-1, h) for h in rings[1:]]]:
-        lo_c, hi_c = max(0, int((r[:, 0].min() - x0) // size)), min(cols, int((r[:, 0].max() - x0) // size) + 1)
-        lo_r, hi_r = max(0, int((y0 - r[:, 1].max()) // size)), min(rows, int((y0 - r[:, 1].min()) // size) + 1)
-        for i in range(lo_r, hi_r):
-            top = y0 - i * size
-            band = clip(r, -np.inf, top - size, np.inf, top)
-            if len(band) < 3:
-                continue
-            for j in range(lo_c, hi_c):
-                left = x0 + j * size
-                part = clip(band, left, -np.inf, left + size, np.inf)
-                if len(part) >= 3:
-                    out[i, j] += sign * abs(ring_area(part)) / size**2
+    j, i = np.meshgrid(np.arange(cols), np.arange(rows))
+    x, y = (x0 + (j + 0.5) * size).ravel(), (y0 - (i + 0.5) * size).ravel()
+    # Cells whose centre is farther from the edge than half a diagonal are whole or empty; only the others are cut.
+    out = inside(rings, x, y).astype(float)
+    for k in np.flatnonzero(distance(rings, x, y, to_edge=True) < size * 0.7072).tolist():
+        left, top = x[k] - size / 2, y[k] + size / 2
+        parts = [clip(r, left, top - size, left + size, top) for r in rings]
+        areas = [abs(ring_area(p)) if len(p) >= 3 else 0.0 for p in parts]
+        out[k] = (areas[0] - sum(areas[1:])) / size**2
+    out = out.reshape(rows, cols)
     out[out < C.MIN_CELL_COVERAGE] = 0.0
     return np.minimum(out, 1.0)
 
@@ -226,6 +222,11 @@ def resolve_geometry(candidates: list[Column], old: Column, lat: Column, lon: Co
     return F.struct(F.coalesce(high, medium, low).alias("geojson"), word.alias("confidence"))
 
 
+def spread(parcels: DataFrame) -> DataFrame:
+    """Parcels dealt over all tasks: their rows are small, what is done to each is not."""
+    return parcels.repartition(int(parcels.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def cover_cells(parcels: DataFrame, key: str, geojson: str, size: float = 10.0) -> DataFrame:
     """(key, row, col, x, y, coverage, distance_inside) for the cells of each parcel on the world grid of `size` metres: row and
     col count from the origin, so parcels share cells. distance_inside is the cell centre's distance to the edge."""
@@ -250,7 +251,7 @@ def cover_cells(parcels: DataFrame, key: str, geojson: str, size: float = 10.0)
     schema = StructType().add("k", kind).add("row", LongType()).add("col", LongType())
     for c in ("x", "y", "coverage", "distance_inside"):
         schema = schema.add(c, DoubleType())
-    return parcels.select(key, geojson).mapInArrow(run, schema).withColumnRenamed("k", key)
+    return spread(parcels.select(key, geojson)).mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
 def ring_cells(parcels: DataFrame, key: str, geojson: str, size: float = 10.0, gap: float = C.RING_GAP_M, most: float = C.RING_MAX_M) -> DataFrame:
@@ -274,7 +275,7 @@ def ring_cells(parcels: DataFrame, key: str, geojson: str, size: float = 10.0, g
     from pyspark.sql.types import DoubleType, LongType, StructType
 
     schema = StructType().add("k", kind).add("row", LongType()).add("col", LongType()).add("distance", DoubleType())
-    return parcels.select(key, geojson).mapInArrow(run, schema).withColumnRenamed("k", key)
+    return spread(parcels.select(key, geojson)).mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
 def ring_width(cells: DataFrame, key: str, dist: str) -> DataFrame:
