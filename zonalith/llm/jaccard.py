@@ -12,7 +12,7 @@ one before - which is walked once for each probing set. Overlaps counted on a sh
 as soon as what remains of its sets cannot reach the overlap needed. Every link is decided on whole sets.
 
 Within a prefix group not all pairs are tried. The group's first nodes probe all others, linked nodes are joined into
-components, and only groups that still hold several components go on, with twice as many probes, until none is left: a
+components, and only groups that still hold several components go on, with four times as many probes, until none is left: a
 pair is skipped only when its two nodes are connected already, so components are exact.
 
 Defined results: null text has no words; repeated rows and equal ids are documents of their own that share a node;
@@ -253,7 +253,7 @@ def live(groups: DataFrame) -> DataFrame:
 def link_nodes(sets: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(node, comp) of the linked nodes. groups: (token, node, n, place) of prefix shingles that several nodes share."""
     most = F.floor((NUM + DEN) * (F.col("n") - F.col("place")) / NUM) - F.col("n")
-    links, comp, probes = None, None, 1
+    links, comp, probes = None, None, 4
     groups = staged(live(groups.withColumn("most", most).withColumn("comp", F.col("node"))), "groups")
     while True:
         # Each group's probes: of each of `probes` hash classes the strong member with fewest shingles, nearest the front.
@@ -273,7 +273,7 @@ def link_nodes(sets: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFr
         drop_staged(old)
         if groups.isEmpty():
             return comp
-        probes *= 2
+        probes *= 4
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, chunk: int = CHUNK) -> DataFrame:
