@@ -16,16 +16,37 @@ pre-aggregated before they move, and the number of hash buckets follows the rows
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from zonalith.llm import words as W
+from zonalith.session import reach_workers
 
-WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 CELL_ROWS, LEAST_BUCKETS = 50_000, 64
 
 
-def text_size(text: Column) -> Column:
-    """Number of words of a text, 0 where null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+def with_size(df: DataFrame, text_col: str, keep: list[str], out_col: str) -> DataFrame:
+    """The columns `keep` and the number of words of a text, 0 where null. Counted on the bytes, once for each row: as an
+    expression the count would be made again wherever the plan refers to it."""
+    reach_workers(df.sparkSession)
+    own = df.select(F.col(text_col).alias("_text"), *[F.col(c) for c in keep if c != text_col])
+    names = [text_col if c == "_text" else c for c in own.columns]
+    given = [c for c in names if c in keep]
+
+    def run(batches):
+        for batch in batches:
+            n = [np.zeros(0, np.int64)]
+            for _, _, data, docs in W.slices(batch.column(0)):
+                n.append(np.diff(W.find(data, docs, W.SPACED_MASK, hashed=False).of))
+            columns = [batch.column(k) for k, c in enumerate(names) if c in keep]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(n).astype(np.int64))], names=[*given, out_col])
+
+    fields = [own.schema["_text" if c == text_col else c] for c in given]
+    schema = StructType([StructField(c, f.dataType, f.nullable) for c, f in zip(given, fields, strict=True)]).add(out_col, LongType())
+    return own.mapInArrow(run, schema).select(*keep, out_col)
 
 
 def size_class(size: Column) -> Column:
@@ -65,10 +86,14 @@ def plan_copies(df: DataFrame, rows: int, id_col: str = "doc_id", source_col: st
     inner = [f"c{k}" for k in range(len(df.columns))]
     name = dict(zip(df.columns, inner, strict=True))
     own = df.toDF(*inner)
-    size = F.col(name[size_col]) if size_col else text_size(F.col(name[text_col]))
+    source, ident = name[source_col], name[id_col]
+    if size_col:
+        own, narrow = own.withColumn("size", F.col(name[size_col])), own.select(F.col(name[size_col]).alias("size"), source, ident)
+    else:
+        own, narrow = with_size(own, name[text_col], inner, "size"), with_size(own, name[text_col], [source, ident], "size")
     buckets = max(LEAST_BUCKETS, -(-rows // CELL_ROWS))
-    hashed = seeded(F.col(name[id_col]).cast("string"), seed)
-    narrow = df.toDF(*inner).select(F.col(name[source_col]).alias("src"), size.alias("size"), hashed.alias("h"))
+    hashed = seeded(F.col(ident).cast("string"), seed)
+    narrow = narrow.select(F.col(source).alias("src"), "size", hashed.alias("h"))
     cell = lambda d: d.withColumn("class", size_class(F.col("size"))).withColumn("bucket", hex_int(F.col("h"), 8) % buckets)
     # A source is matched by (is null, value), so that null is a key like any other.
     keyed = lambda d: d.withColumn("none", F.col("src").isNull()).withColumn("src", F.coalesce("src", F.lit("")))
@@ -82,7 +107,7 @@ def plan_copies(df: DataFrame, rows: int, id_col: str = "doc_id", source_col: st
     cells = cells.join(classes, ["none", "src", "class"]).join(targets, ["none", "src"])
     offset = hex_int(seeded(F.when(~F.col("none"), F.col("src")), seed + 1), 4) / 65536.0
     cells = cells.select("none", "src", "class", "bucket", "source_size", "target", "rate", (F.col("class_at") + F.col("bucket_at")).alias("at"), offset.alias("u"))
-    full = keyed(cell(own.withColumn("src", F.col(name[source_col])).withColumn("size", size).withColumn("h", hashed)))
+    full = keyed(cell(own.withColumn("src", F.col(source)).withColumn("h", hashed)))
     row = F.row_number().over(Window.partitionBy("none", "src", "class", "bucket").orderBy("size", "h", *([F.col(name[text_col]).asc_nulls_first()] if text_col in name else [])))
     full = full.withColumn("row", row).join(cells, ["none", "src", "class", "bucket"])
     place = F.col("at") + F.col("row")

@@ -85,8 +85,7 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.text_size(F.col("text")).alias("size"))
-    docs = staged(docs, "sizes")
+    docs = staged(mixing.with_size(table(spark, sf_dir, "documents"), "text", ["doc_id", "source"], "size"), "sizes")
     planned = mixing.plan_copies(docs, docs.count(), size_col="size")
     return planned.select("doc_id", "size", "mix.source_size", "mix.target", (F.col("size") * F.col("mix.copies")).alias("taken"))
 
