@@ -21,7 +21,7 @@ def test_calibration(spark):
     assert [row[0], row[1], row[4], row[5]] == pytest.approx([0.2, 0.6, 0.2, 0.3], abs=1e-6)
     # The zero of the offset is below zero in single precision.
     assert row[2] is None and row[3] is None
-    assert (row[6], row[7]) == ("processing_baseline", "legacy_default")
+    assert (row[6], row[7]) == ("esa_boa_add_offset_fallback", "sentinel2_default")
     assert one(spark, S.nd(F.lit(0.6), F.lit(0.2)))[0] == pytest.approx(0.5)
     with pytest.raises(Exception, match="invalid reflectance scale"):
         one(spark, S.scale_offset(F.lit("-1"), n, n)["scale"])

@@ -118,7 +118,7 @@ def test_snapshot_needs_value(spark):
 
 
 def test_exit_codes():
-    assert [I.exit_code(0, 0, 5, 0), I.exit_code(3, 0, 0, 0), I.exit_code(0, 0, 0, 4), I.exit_code(1, 3, 0, 0), I.exit_code(0, 3, 0, 0)] == [0, 1, 2, 3, 0]
+    assert [I.exit_code(0, 5, 0), I.exit_code(0, 0, 0), I.exit_code(4, 0, 1), I.exit_code(4, 0, 0)] == [0, 2, 3, 0]
 
 
 def quarter_cells(spark, value):

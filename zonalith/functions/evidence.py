@@ -82,19 +82,21 @@ def assess(*, epc_valid: Column, epc_total: Column, valid_px: Column, field_px:
 
 
 def radar_quality(epc: Column, acres: Column, geometry: Column, evidence: Column) -> Column:
-    """PRJ30: struct(quality, confidence, level)."""
-    quality = F.round(0.5 * F.least(epc / C.EPC_SATURATION, F.lit(1.0)), 3)
-    c = quality * 0.70 * F.when(acres < C.MICRO_LAND_ACRES, C.MICRO_LAND_FACTOR).otherwise(1.0)
+    """PRJ30: struct(quality, confidence, level); confidence stays below the stored quality."""
+    raw = 0.5 * F.least(epc / C.EPC_SATURATION, F.lit(1.0))
+    quality = F.round(raw, 3)
+    c = raw * 0.70 * F.when(acres < C.MICRO_LAND_ACRES, C.MICRO_LAND_FACTOR).otherwise(1.0)
     c = c * F.when(geometry == "high", 1.0).when(geometry == "medium", 0.85).when(geometry == "low", 0.55).otherwise(0.5)
-    c = c * F.when(evidence == "low", 0.75).otherwise(1.0)
-    confidence = F.round(F.greatest(F.least(c, quality - 1e-3), F.lit(0.0)), 3)
-    level = F.when(confidence >= 0.40, "medium").when(confidence >= 0.25, "low").otherwise("very_low")
+    c = c * F.when(evidence.isin("low", "insufficient"), 0.75).otherwise(1.0)
+    confidence = F.greatest(F.round(F.least(c, quality - 1e-3), 3), F.lit(0.0))
+    level = F.when(confidence >= 0.40, "high").when(confidence >= 0.25, "medium").otherwise("low")
     return F.struct(quality.alias("quality"), confidence.alias("confidence"), level.alias("level"))
 
 
 def radar_gate(epc: Column, valid_px: Column) -> Column:
-    """FLT6."""
-    return F.when(valid_px < C.MIN_VALID_PIXELS, "too_few_pixels").when(epc < C.MIN_EPC, "insufficient_epc")
+    """FLT6: the first reason to reject a radar row, or NULL."""
+    few = F.concat(F.lit("valid_pixels "), valid_px.cast("string"), F.lit(" < 8"))
+    return F.when(epc < C.MIN_EPC, F.concat(F.lit("EPC "), F.format_string("%.2f", epc), F.lit(" < 3.0"))).when(valid_px < C.MIN_VALID_PIXELS, few)
 
 
 def cohort_key(crop: Column, day: Column, block: Column) -> Column:
@@ -144,9 +146,25 @@ def context_delta(parcel: Column, median: Column, mad: Column, n: Column, se: Co
 def error_class(message: Column) -> Column:
     """PRJ38: rate_limited, server_or_timeout or other."""
     m = F.lower(F.coalesce(message, F.lit("")))
-    return F.when(m.contains("429") | m.contains("too many requests"), "rate_limited").when(m.rlike(r"\b50[0234]\b|timeout|timed out"), "server_or_timeout").otherwise("other")
+    return F.when(m.rlike("429|too many requests|throttl|rate limit"), "rate_limited").when(m.rlike("500|502|503|504|timeout|timed out"), "server_or_timeout").otherwise("other")
+
+
+#: Parts of messages after which a write is worth trying again.
+TRANSIENT = (
+    "server disconnected",
+    "connection reset",
+    "connection aborted",
+    "remoteprotocolerror",
+    "timeout",
+    "temporarily unavailable",
+    "connection error",
+    "read timeout",
+    "502",
+    "503",
+    "504",
+)
 
 
 def transient(message: Column) -> Column:
     """Whether a write is worth trying again."""
-    return F.lower(F.coalesce(message, F.lit(""))).rlike("connection|timeout|timed out|reset|temporarily|broken pipe|502|503|504")
+    return F.lower(F.coalesce(message, F.lit(""))).rlike("|".join(TRANSIENT))

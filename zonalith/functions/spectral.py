@@ -73,17 +73,20 @@ def indices(bands: Mapping[str, Column]) -> dict[str, Column]:
 def index_validity(name: str, value: Column) -> Column:
     """PRJ9: struct(ok, reason)."""
     lo, hi = C.INDEX_BOUNDS[name]
-    reason = F.when(value.isNull(), "null").when(F.isnan(value) | (F.abs(value) == float("inf")), "non_finite").when((value < lo) | (value > hi), "out_of_range")
+    reason = F.when(value.isNull(), "null").when(F.isnan(value) | (F.abs(value) == float("inf")), "non_finite").when((value < lo) | (value > hi), F.lit(f"out_of_range[{lo},{hi}]"))
     return F.struct(reason.isNull().alias("ok"), F.coalesce(reason, F.lit("ok")).alias("reason"))
 
 
 def scale_offset(asset_scale: Column, asset_offset: Column, baseline: Column) -> Column:
-    """PRJ10: struct(scale, offset, source): asset metadata, else the processing baseline's rule (4.0 and later: -1000 counts)."""
+    """PRJ10: struct(scale, offset, source): asset metadata where it has either value, else the processing baseline's rule
+    (4.0 and later: -1000 counts), else the default. A scale that is not positive or an offset that is not finite is an error."""
+    found = asset_scale.isNotNull() | asset_offset.isNotNull()
     scale = F.coalesce(asset_scale.try_cast("double"), F.lit(0.0001))
-    scale = F.when((scale <= 0) | F.isnan(scale), F.raise_error(F.lit("invalid reflectance scale"))).otherwise(scale)
-    late = F.coalesce(baseline.try_cast("double") >= 4.0, F.lit(False))
+    scale = F.when((scale <= 0) | F.isnan(scale) | (scale == float("inf")), F.raise_error(F.lit("invalid reflectance scale"))).otherwise(scale)
+    late = ~found & F.coalesce(baseline.try_cast("double") >= 4.0, F.lit(False))
     offset = F.coalesce(asset_offset.try_cast("double"), F.when(late, -1000.0 * scale).otherwise(0.0))
-    source = F.when(asset_offset.isNotNull(), "asset_metadata").when(late, "processing_baseline").otherwise("legacy_default")
+    offset = F.when(F.isnan(offset) | (F.abs(offset) == float("inf")), F.raise_error(F.lit("invalid reflectance offset"))).otherwise(offset)
+    source = F.when(found, "stac_raster_bands").when(late, "esa_boa_add_offset_fallback").otherwise("sentinel2_default")
     return F.struct(scale.alias("scale"), offset.alias("offset"), source.alias("source"))
 
 
@@ -96,7 +99,7 @@ def reflectance(dn: Column, scale: Column, offset: Column) -> Column:
 def calibration(asset_scale: Column, asset_offset: Column, baseline: Column) -> Column:
     """PRJ12: provenance of the calibration of a band."""
     so = scale_offset(asset_scale, asset_offset, baseline)
-    return F.struct(so["scale"].alias("scale"), so["offset"].alias("offset"), so["source"].alias("source"), baseline.alias("baseline"), F.lit("reflectance = dn * scale + offset").alias("formula"))
+    return F.struct(so["scale"].alias("scale"), so["offset"].alias("offset"), so["source"].alias("source"), baseline.try_cast("double").alias("baseline"), F.lit("physical = raw * scale + offset").alias("formula"))
 
 
 def radar(vv: Column, vh: Column) -> Column:

@@ -212,12 +212,13 @@ def unmix(df: DataFrame, spectrum: str, endmembers: dict[str, list[float]]) -> D
 
 
 def resolve_geometry(candidates: list[Column], old: Column, lat: Column, lon: Column, half: float = 0.00036) -> Column:
-    """GE1: struct(geojson, confidence): the first usable candidate is high, the old boundary medium, a square around the centre low."""
+    """GE1: struct(geojson, confidence): the first usable candidate is high, the old boundary medium, a disc around the centre low."""
     good = lambda c: F.when(F.get_json_object(c, "$.type").isin("Polygon", "MultiPolygon") & F.get_json_object(c, "$.coordinates[0]").isNotNull(), c)
     high, medium = F.coalesce(*[good(c) for c in candidates]), good(old)
     point = lambda a, b: F.concat(F.lit("["), (lon + a * half).cast("string"), F.lit(","), (lat + b * half).cast("string"), F.lit("]"))
-    box = F.concat(F.lit('{"type":"Polygon","coordinates":[['), F.concat_ws(",", *[point(a, b) for a, b in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))]), F.lit("]]}"))
-    low = F.when(lat.isNotNull() & lon.isNotNull(), box)
+    turns = [(math.cos(2 * math.pi * k / 64), math.sin(2 * math.pi * k / 64)) for k in (*range(64), 0)]
+    disc = F.concat(F.lit('{"type":"Polygon","coordinates":[['), F.concat_ws(",", *[point(a, b) for a, b in turns]), F.lit("]]}"))
+    low = F.when(lat.isNotNull() & lon.isNotNull(), disc)
     word = F.when(high.isNotNull(), "high").when(medium.isNotNull(), "medium").when(low.isNotNull(), "low")
     return F.struct(F.coalesce(high, medium, low).alias("geojson"), word.alias("confidence"))
 

@@ -102,11 +102,11 @@ def run_summary(results: DataFrame, status: str = "status", observations: str =
         F.count("*").alias("lands"),
         F.count_if(s == "completed").alias("completed"),
         F.count_if(s == "failed").alias("failed"),
-        F.count_if(s == "no_data").alias("no_data"),
+        F.count_if(~s.isin("completed", "failed", "unchanged")).alias("no_data"),
         F.count_if(s == "unchanged").alias("unchanged"),
         F.coalesce(F.sum(F.when(n >= 0, n)), F.lit(0)).cast("long").alias("observations"),
         F.count_if(n < 0).alias("unverified"),
-        F.round(100.0 * F.try_divide(F.count_if(s == "no_data"), attempted), 2).alias("skip_rate_pct"),
+        F.round(F.coalesce(100.0 * F.try_divide(F.count_if(~s.isin("completed", "failed", "unchanged")), attempted), F.lit(0.0)), 1).alias("skip_rate_pct"),
     )
 
 
@@ -115,16 +115,12 @@ def reason_counts(df: DataFrame, reason: str) -> DataFrame:
     return df.where(F.col(reason).isNotNull()).groupBy(F.substring_index(reason, " ", 1).alias("reason")).agg(F.count("*").alias("n"))
 
 
-def exit_code(failed: int, completed: int, unchanged: int, no_data: int) -> int:
-    """SM8: 0 healthy (a quiet night included), 1 every attempted land failed, 2 outage: nothing usable anywhere, 3 some failed."""
-    attempted = failed + completed + no_data
-    if attempted == 0:
-        return 0
-    if failed == attempted:
-        return 1
-    if completed == 0 and unchanged == 0:
+def exit_code(observations: int, unchanged: int, promotion_failed: int) -> int:
+    """SM8: 2 when nothing was observed and no land is unchanged (an outage), 3 when accepted rows were not promoted, else 0, a
+    quiet night included; an exception of the job is 1."""
+    if observations == 0 and unchanged == 0:
         return 2
-    return 3 if failed else 0
+    return 3 if promotion_failed else 0
 
 
 def superseded(df: DataFrame, land: str, date: str, method: str, row_id: str, good: str) -> DataFrame:

@@ -46,7 +46,7 @@ def index_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN v IS NULL THEN 'null' WHEN v < -1 OR v > 1 THEN 'out_of_range' ELSE 'ok' END AS reason
+    """SELECT reason, count(*) AS n FROM (SELECT CASE WHEN v IS NULL THEN 'null' WHEN v < -1 OR v > 1 THEN 'out_of_range[-1.0,1.0]' ELSE 'ok' END AS reason
 FROM (SELECT CASE WHEN l_linenumber <> 3 THEN (l_quantity - 25) / 20.0 END AS v FROM lineitem) t) u GROUP BY reason"""
 )
 def index_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def index_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT l_orderkey, l_partkey, source, round(CASE WHEN x >= 0 AND x <= CAST(1.2 AS FLOAT) THEN CAST(x AS DOUBLE) END, 5) AS reflectance
-FROM (SELECT l_orderkey, l_partkey, CASE WHEN l_returnflag = 'A' THEN 'asset_metadata' WHEN l_returnflag = 'N' THEN 'processing_baseline' ELSE 'legacy_default' END AS source,
+FROM (SELECT l_orderkey, l_partkey, CASE WHEN l_returnflag = 'A' THEN 'stac_raster_bands' WHEN l_returnflag = 'N' THEN 'esa_boa_add_offset_fallback' ELSE 'sentinel2_default' END AS source,
   CAST(CAST(floor(l_extendedprice / 5) AS INT) AS FLOAT) * CAST(0.0001 AS FLOAT) + CAST(CASE WHEN l_returnflag = 'A' THEN -0.05 WHEN l_returnflag = 'N' THEN -0.1 ELSE 0.0 END AS FLOAT) AS x FROM lineitem) t"""
 )
 def reflectance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,20 +175,20 @@ def radar_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RADAR_Q = """q AS (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity AS epc, l_discount * 10 AS acres, CAST(l_linenumber * 3 AS BIGINT) AS px,
  CASE l_returnflag WHEN 'A' THEN 'high' WHEN 'N' THEN 'medium' ELSE 'low' END AS geom, CASE WHEN l_linestatus = 'O' THEN 'low' ELSE 'high' END AS ev FROM lineitem),
-c AS (SELECT *, round(0.5 * least(epc / 50.0, 1.0), 3) AS quality, round(0.5 * least(epc / 50.0, 1.0), 3) * 0.70 * CASE WHEN acres < 0.25 THEN 0.65 ELSE 1.0 END * CASE geom WHEN 'high' THEN 1.0 WHEN 'medium' THEN 0.85 ELSE 0.55 END * CASE WHEN ev = 'low' THEN 0.75 ELSE 1.0 END AS c0 FROM q),
+c AS (SELECT *, round(0.5 * least(epc / 50.0, 1.0), 3) AS quality, 0.5 * least(epc / 50.0, 1.0) * 0.70 * CASE WHEN acres < 0.25 THEN 0.65 ELSE 1.0 END * CASE geom WHEN 'high' THEN 1.0 WHEN 'medium' THEN 0.85 ELSE 0.55 END * CASE WHEN ev = 'low' THEN 0.75 ELSE 1.0 END AS c0 FROM q),
 d AS (SELECT *, greatest(least(c0, quality - 1e-3), 0.0) AS conf FROM c)"""
 
 
 @query(
-    f"""WITH {RADAR_Q} SELECT l_orderkey, l_partkey, l_linenumber, quality, floor(conf * 1000 + 0.5 - 1e-9) / 1000.0 >= 0.25 AS usable,
-  CASE WHEN px < 8 THEN 'too_few_pixels' WHEN epc < 3 THEN 'insufficient_epc' END AS gate FROM d"""
+    f"""WITH {RADAR_Q} SELECT l_orderkey, l_partkey, l_linenumber, quality, conf >= 0.2495 AS usable,
+  CASE WHEN epc < 3 THEN 'EPC ' || printf('%.2f', epc) || ' < 3.0' WHEN px < 8 THEN 'valid_pixels ' || CAST(px AS VARCHAR) || ' < 8' END AS gate FROM d"""
 )
 def radar_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ30, FLT6."""
     li = B.table(spark, sf_dir, "lineitem")
     geom = F.when(F.col("l_returnflag") == "A", "high").when(F.col("l_returnflag") == "N", "medium").otherwise("low")
     q = E.radar_quality(F.col("l_quantity"), F.col("l_discount") * 10, geom, F.when(F.col("l_linestatus") == "O", "low").otherwise("high"))
-    return li.select("l_orderkey", "l_partkey", "l_linenumber", q["quality"].alias("quality"), (q["level"] != "very_low").alias("usable"), E.radar_gate(F.col("l_quantity"), (F.col("l_linenumber") * 3).cast("long")).alias("gate"))
+    return li.select("l_orderkey", "l_partkey", "l_linenumber", q["quality"].alias("quality"), (q["level"] != "low").alias("usable"), E.radar_gate(F.col("l_quantity"), (F.col("l_linenumber") * 3).cast("long")).alias("gate"))
 
 
 @query(

@@ -104,7 +104,7 @@ def image_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH s AS (SELECT user_id AS u, CASE event_id % 4 WHEN 0 THEN '2024-01-05T10:00:00Z' WHEN 1 THEN '2024-01-06' WHEN 2 THEN '2024-01-07 not a time' ELSE 'none' END AS t, CASE event_id % 3 WHEN 0 THEN 'HTTP 429 Too Many Requests' WHEN 1 THEN 'Read timed out' ELSE 'bad value' END AS m, event_id FROM events)
+    """WITH s AS (SELECT user_id AS u, CASE event_id % 4 WHEN 0 THEN '2024-01-05T10:00:00Z' WHEN 1 THEN '2024-01-06' WHEN 2 THEN '2024-01-07 not a time' ELSE 'none' END AS t, CASE event_id % 3 WHEN 0 THEN 'HTTP 429 Too Many Requests' WHEN 1 THEN 'Read timeout' ELSE 'bad value' END AS m, event_id FROM events)
 SELECT event_id AS id, CASE event_id % 4 WHEN 0 THEN DATE '2024-01-05' WHEN 1 THEN DATE '2024-01-06' WHEN 2 THEN DATE '2024-01-07' END AS d, CASE event_id % 3 WHEN 0 THEN 'rate_limited' WHEN 1 THEN 'server_or_timeout' ELSE 'other' END AS class, event_id % 3 = 1 AS transient FROM s"""
 )
 def text_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ def text_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     k = F.col("event_id")
     t = F.when(k % 4 == 0, "2024-01-05T10:00:00Z").when(k % 4 == 1, "2024-01-06").when(k % 4 == 2, "2024-01-07 not a time").otherwise("none")
-    m = F.when(k % 3 == 0, "HTTP 429 Too Many Requests").when(k % 3 == 1, "Read timed out").otherwise("bad value")
+    m = F.when(k % 3 == 0, "HTTP 429 Too Many Requests").when(k % 3 == 1, "Read timeout").otherwise("bad value")
     return B.table(spark, sf_dir, "events").select(k.alias("id"), geo.parse_date(t).alias("d"), error_class(m).alias("class"), transient(m).alias("transient"))
 
 

@@ -123,7 +123,7 @@ def land_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {STATUS}, n AS (SELECT status, CASE WHEN land % 5 = 0 THEN -1 ELSE land % 3 END AS n_obs FROM st)
 SELECT count(*) AS lands, count(*) FILTER (WHERE status = 'completed') AS completed, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'no_data') AS no_data, count(*) FILTER (WHERE status = 'unchanged') AS unchanged,
-  CAST(coalesce(sum(CASE WHEN n_obs >= 0 THEN n_obs END), 0) AS BIGINT) AS observations, count(*) FILTER (WHERE n_obs < 0) AS unverified, round(100.0 * count(*) FILTER (WHERE status = 'no_data') / nullif(count(*) FILTER (WHERE status <> 'unchanged'), 0), 2) AS skip_rate_pct FROM n"""
+  CAST(coalesce(sum(CASE WHEN n_obs >= 0 THEN n_obs END), 0) AS BIGINT) AS observations, count(*) FILTER (WHERE n_obs < 0) AS unverified, round(100.0 * count(*) FILTER (WHERE status = 'no_data') / nullif(count(*) FILTER (WHERE status <> 'unchanged'), 0), 1) AS skip_rate_pct FROM n"""
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK7, AG19, AG23."""
