@@ -125,7 +125,9 @@ def route(docs: DataFrame, bits, shards: int, n: int, k: int) -> DataFrame:
             again = (ids[order] != ids[lead]) | (start[order] != start[lead])
             late = order[again]
             if len(late):
-                yield batch_of(ranges=(ids[late], hs[late], start[late], size[late], hs[late] & (shards - 1)))
+                # Known already, they only pass a shard; any will do, and copies must not all take the same.
+                any_ = (W.mix(ids[late].astype(U64) * W.WORD_BASE + start[late].astype(U64)) & U64(shards - 1)).astype(np.int32)
+                yield batch_of(ranges=(ids[late], hs[late], start[late], size[late], any_))
             keep = order[~again]
             shard = (low[keep] >> shift).astype(np.int64) if shards > 1 else np.zeros(len(keep), np.int64)
             by = np.argsort(shard, kind="stable")
