@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from zonalith.llm import words as W
 from zonalith.session import reach_workers, small_batches, staged
 
-BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 32 << 20, 700_000
+BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 32 << 20, 550_000
 HEADER = 7
 LETTER = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
 STOP = re.compile(rb"(?:" + LETTER + rb")[.,]\Z")
@@ -126,10 +126,10 @@ class WordEncoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.plain = Tokenizer.from_file(tokenizer_file), Tokenizer.from_file(tokenizer_file)
-        self.plain.normalizer = normalizers.Sequence([])
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.plain = Tokenizer(self.tokenizer.model)  # the same model in memory
         self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.cache, self.most = Cache(), cache_words
 
