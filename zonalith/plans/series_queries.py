@@ -49,7 +49,7 @@ e AS (SELECT land, max(CASE WHEN f = 1 THEN v END) - max(CASE WHEN b = 1 THEN v
 )
 def trend_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG10, AG10b, WN5."""
-    return T.trend(B.series(spark, sf_dir).where("id % 9 = 0"), "land", "d", "v", "id", digits=9)
+    return T.trend(B.series(spark, sf_dir), "land", "d", "v", "id", digits=9)
 
 
 @query(
@@ -85,7 +85,7 @@ p AS (SELECT e.land, k, latest, n, rmse, greatest(-0.05, least(0.05, slope)) AS
 )
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT11, WN6, WN7, section 2.11, CD7."""
-    f = T.forecast(B.series(spark, sf_dir).where("id % 5 < 4"), "land", "d", "v", "q", "id")
+    f = T.forecast(B.series(spark, sf_dir), "land", "d", "v", "q", "id")
     out = T.predicted_records(f, "land", "m1")
     return out.select("land", "scene_id", F.col("horizon_days").cast("int").alias("horizon_days"), "estimated", "low", "high", F.col("training_count").cast("long").alias("training_count"), "rmse", "validation_status")
 
