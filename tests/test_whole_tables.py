@@ -4,12 +4,13 @@ import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from zonalith.operators import temporal as T
+from zonalith.operators import incremental as I, temporal as T
 from zonalith.plans import catalog
 
 CUTS = {
     "trend_class": " AND id % 9 = 0",
     "forecast": " AND id % 5 < 4",
+    "repair_newest": " AND id % 4 = 0",
 }
 
 
@@ -43,3 +44,11 @@ def test_forecast_of_sparse_series(spark):
     got = T.forecast(series(spark, rows), "land", "d", "v", "q", "id").collect()
     assert sorted((r.land, str(r.date)) for r in got) == [(3, f"2024-01-{d}") for d in range(17, 22)] + [(5, f"2024-01-{d}") for d in range(24, 29)]
     assert {r.training_count for r in got} == {4}
+
+
+def test_repair_of_lands_without_rows(spark):
+    """The newest row that has a value, whatever its id; lands without one are kept with NULL."""
+    rows = series(spark, [(1, "2024-01-01", 0.1, None), (1, "2024-01-03", 0.3, None), (1, "2024-01-03", 0.2, None), (1, "2024-01-04", None, None), (3, "2024-01-01", None, None), (9, "2024-01-01", 0.9, None)])
+    own = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    got = I.repair_from_newest(own, rows.withColumnRenamed("id", "event"), "id", "land", ["d", "event"], "v").collect()
+    assert sorted((r.id, r.new_value) for r in got) == [(1, 0.2), (2, None), (3, None)]
