@@ -22,8 +22,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
-    joined = staged(jaccard.join(docs).select("doc_id", "n_shingles", "component_id"), "joined")
+    """One row, of the smallest id, of each group of near copies."""
+    joined = staged(jaccard.join(docs), "joined")
     return jaccard.keep_one(docs, joined)
 
 

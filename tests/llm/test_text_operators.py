@@ -127,6 +127,18 @@ def test_jaccard_empty_and_keep_one(spark):
     assert kept.columns == docs.columns
 
 
+def test_keep_one_of_repeated_rows(spark):
+    """Repeated rows of the smallest id leave one; of rows that share an id, only the near copy goes; unrelated ones stay."""
+    a, b, c, d = (cases.prose(80, k) for k in (61, 62, 63, 64))
+    rows = [(1, a, "s"), (1, a, "s"), (1, a, "s"), (2, a + " tail", "s"), (2, b, "s"), (2, b, "t"), (3, b, "s")]
+    rows += [(4, c, "s"), (4, d, "s"), (5, d + " tail", "s"), (6, "", "s"), (6, "", "s"), (6, None, "s"), (6, a, "s"), (None, a, "s"), (None, a, "s")]
+    docs = cases.documents(spark, rows)
+    kept = jaccard.keep_one(docs, jaccard.join(docs))
+    want = [(1, a, "s"), (2, b, "s"), (4, c, "s"), (4, d, "s"), (6, "", "s"), (6, "", "s"), (6, None, "s"), (None, a, "s"), (None, a, "s")]
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text, r.source) for r in kept.collect()) == Counter(want)
+
+
 def test_walk_equals_sets():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 60, 150).astype(np.uint64)

@@ -30,7 +30,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from zonalith.llm import filters, words as W
 from zonalith.llm.graph import components
@@ -40,6 +40,8 @@ N, NUM, DEN = 5, 80, 100
 SKETCH_BITS, SLICE_BITS = 21, 15
 CHUNK = 256
 U64 = np.uint64
+#: Columns beside those of the documents.
+NODE, RANK = "jaccard node", "jaccard rank"
 
 
 def sets_of(column: pa.Array, n: int):
@@ -277,7 +279,8 @@ def link_nodes(sets: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFr
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, n_shingles, component_id, node): one row for each document; component_id is the smallest id reachable."""
+    """(doc_id, n_shingles, component_id, node, comp): one row for each document; component_id is the smallest id reachable, comp the
+    smallest node, which tells components of rows that share an id apart."""
     spark = docs.sparkSession
     reach_workers(spark)
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -297,14 +300,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     comp = link_nodes(found.select("node", "set"), groups, chunk)
     least = least.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     of_comp = least.groupBy("comp").agg(F.min("least").alias("component"))
-    least = least.join(of_comp, "comp").select("node", "component")
+    least = least.join(of_comp, "comp").select("node", "component", "comp")
     out = rows.join(least, "node", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(F.col("n") > 0, F.col("node")).alias("node"))
-
-
-def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that stand for their component: those whose id is the component's; of rows with that id, one.
-    Documents without words and with null ids stay."""
-    gone = joined.where("n_shingles > 0 and doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.when(F.col("n") > 0, F.col("node")).alias("node"), F.when(F.col("n") > 0, F.col("comp")).alias("comp"))
+
+
+def keep_one(docs: DataFrame, joined: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N) -> DataFrame:
+    """One row for each component: of its rows of the smallest id, that of the smallest node, and of equal ones the first by text
+    and other columns. Documents without words and with null ids stay. An id of one row is decided by the id alone; rows that
+    share an id are told apart by their node, for which only their texts are hashed again."""
+    known = joined.where("doc_id is not null")
+    many = staged(known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("doc_id").alias(id_col)), "repeated")
+    gone = known.where("n_shingles > 0 and doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
+    if many.isEmpty():
+        return docs.join(gone, id_col, "left_anti")
+    single = docs.join(gone.unionByName(many).distinct(), id_col, "left_anti")
+    first = known.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("doc_id", "node")).alias("w"))
+    first = first.select(F.col("w.doc_id").alias(id_col), F.col("w.node").alias(NODE)).join(many, id_col, "left_semi")
+
+    @F.arrow_udf("long")
+    def node(text: pa.Array) -> pa.Array:
+        return pa.array([node_of(s) if len(s) else None for _, s in sets_of(text, n)], pa.int64())
+
+    shared = docs.join(many, id_col, "left_semi").withColumn(NODE, node(text_col))
+    rest = F.to_json(F.struct(*[c for c in docs.columns if c not in (id_col, text_col)], F.lit(0).alias(NODE)))
+    order = Window.partitionBy(id_col, NODE).orderBy(text_col, rest)
+    chosen = shared.join(first, [id_col, NODE], "left_semi").withColumn(RANK, F.row_number().over(order)).where(F.col(RANK) == 1)
+    return single.unionByName(shared.where(F.col(NODE).isNull()).select(*docs.columns)).unionByName(chosen.select(*docs.columns))
