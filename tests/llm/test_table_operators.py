@@ -154,6 +154,28 @@ def test_neighbours_recall(spark):
     assert hit / 3000 >= 0.9
 
 
+def test_neighbours_of_repeated_rows(spark):
+    """Near ids of twenty rows each, in a table larger than the sample, against brute force over distinct ids."""
+    rng = np.random.default_rng(6)
+    ids, x = [2 * k + 1 for k in range(9000)], rng.standard_normal((9000, 16))
+    asks = rng.standard_normal((20, 16))
+    near = (1.5 * asks[:, None] + 0.05 * rng.standard_normal((20, 25, 16))).reshape(-1, 16)
+    near_ids = [20001 + 2 * k for k in range(500)]
+    rows = [(i, v.tolist(), 1) for i, v in zip(ids, x, strict=True)] + [(20 * k, v.tolist(), 1) for k, v in enumerate(asks)]
+    rows += [(i, v.tolist(), 1) for i, v in zip(near_ids, near, strict=True)] * 20
+    got = defaultdict(list)
+    for r in search(spark, rows).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    every, all_ids = np.vstack([x, asks, near]), np.array([*ids, *range(0, 400, 20), *near_ids])
+    hit = 0
+    for k, q in enumerate(asks):
+        s = np.where(all_ids == 20 * k, -np.inf, every @ q)
+        top = all_ids[np.lexsort((all_ids, -s))[:20]]
+        assert len(got[20 * k]) == len(set(got[20 * k])) == 20
+        hit += len(set(top.tolist()) & set(got[20 * k]))
+    assert hit / 400 >= 0.95, hit / 400
+
+
 def test_neighbours_awkward(spark):
     rows = [(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, [0.5, 0.5], 1), (3, None, 1), (4, [0.0, 0.0], 1), (5, [float("nan"), 1.0], 1), (6, [1.0], 1), (7, [None, 1.0], 1), (None, [1.0, 1.0], 1), (20, None, 1), (40, [0.0, 2.0], 1), (1, [0.5, 0.4], 1)]
     got = [(r.query_id, r["rank"], r.vec_id, round(r.score, 6)) for r in search(spark, rows).orderBy("query_id", "rank").collect()]

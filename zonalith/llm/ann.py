@@ -121,6 +121,12 @@ def scan(x: np.ndarray, xid: np.ndarray, q: np.ndarray, qid: np.ndarray, beat: n
         score = (part[i] * x[j]).sum(axis=1)
         keep = score >= beat[lo : lo + 512][i]
         i, j, score = i[keep], j[keep], score[keep]
+        # Repeated rows of an id count once, at their best score, before the cut.
+        order = np.lexsort((-score, xid[j], i))
+        i, j, score = i[order], j[order], score[order]
+        once = np.ones(len(i), bool)
+        once[1:] = (i[1:] != i[:-1]) | (xid[j[1:]] != xid[j[:-1]])
+        i, j, score = i[once], j[once], score[once]
         order = np.lexsort((xid[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         nth = np.arange(len(i)) - np.searchsorted(i, i)
