@@ -1,16 +1,19 @@
 """Queries over whole tables: held against their SQL without the cuts by id that it still has, and on small fixtures."""
 
+import random
+
 import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from zonalith.operators import incremental as I, temporal as T
+from zonalith.operators import geometry as G, incremental as I, temporal as T
 from zonalith.plans import catalog
 
 CUTS = {
     "trend_class": " AND id % 9 = 0",
     "forecast": " AND id % 5 < 4",
     "repair_newest": " AND id % 4 = 0",
+    "scene_blocks": " AND l_orderkey % 40 = 0",
 }
 
 
@@ -52,3 +55,15 @@ def test_repair_of_lands_without_rows(spark):
     own = spark.createDataFrame([(1,), (2,), (3,)], "id long")
     got = I.repair_from_newest(own, rows.withColumnRenamed("id", "event"), "id", "land", ["d", "event"], "v").collect()
     assert sorted((r.id, r.new_value) for r in got) == [(1, 0.2), (2, None), (3, None)]
+
+
+def test_box_join_meets_every_pair(spark):
+    """Against brute force: boxes over several tiles, touching edges, negative places, unknown boxes."""
+    rng = random.Random(4)
+    box = lambda most: (x := rng.randrange(-60, 60), y := rng.randrange(-60, 60), x + rng.randrange(most), y + rng.randrange(most))
+    left = [(k, k % 2, *map(float, box(15))) for k in range(40)]
+    right = [(k, k % 2, *([None] * 4 if k % 9 == 0 else map(float, box(45)))) for k in range(60)]
+    schema = "{} long, g long, x0 double, y0 double, x1 double, y1 double"
+    got = G.box_join(spark.createDataFrame(left, schema.format("land")), spark.createDataFrame(right, schema.format("scene")), ["g"], 20.0).select("land", "scene").collect()
+    meet = lambda a, b: b[2] is None or (a[2] <= b[4] and b[2] <= a[4] and a[3] <= b[5] and b[3] <= a[5])
+    assert sorted(map(tuple, got)) == sorted((a[0], b[0]) for a in left for b in right if a[1] == b[1] and meet(a, b))

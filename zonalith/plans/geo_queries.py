@@ -83,8 +83,8 @@ def block_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT land, scene FROM parcels, (SELECT DISTINCT * FROM s) s WHERE land % 3 = scene % 3 AND (x0 IS NULL OR (px <= x0 + 2000 AND x0 <= px + side AND py <= y0 + 2000 AND y0 <= py + side))"""
 )
 def scene_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JN4, JN5, GE10: scenes that meet a parcel of their group; those without a footprint are kept."""
-    li = B.table(spark, sf_dir, "lineitem").where("l_linenumber = 1 and l_orderkey % 40 = 0")
+    """JN4, GE10: scenes that meet a parcel of their group; those without a footprint are kept."""
+    li = B.table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
     x0, y0 = F.when(F.col("l_orderkey") % 5 > 0, 400000.0 + F.col("l_partkey") % 9000), 1891000.0 + F.col("l_suppkey") * 53 % 9000
     s = li.select(F.col("l_orderkey").alias("scene"), (F.col("l_orderkey") % 3).alias("g"), x0.alias("x0"), y0.alias("y0"), (x0 + 2000).alias("x1"), (y0 + 2000).alias("y1")).distinct()
     p = B.parcels(spark, sf_dir).select("land", (F.col("land") % 3).alias("g"), F.col("px").alias("x0"), F.col("py").alias("y0"), (F.col("px") + F.col("side")).alias("x1"), (F.col("py") + F.col("side")).alias("y1"))
