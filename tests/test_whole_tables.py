@@ -1,12 +1,13 @@
 """Queries over whole tables: held against their SQL without the cuts by id that it still has, and on small fixtures."""
 
+import inspect
 import random
 
 import oracle
 import pytest
 from pyspark.sql import functions as F
 
-from zonalith.operators import geometry as G, incremental as I, temporal as T
+from zonalith.operators import geometry as G, incremental as I, temporal as T, validation as V
 from zonalith.plans import catalog
 
 CUTS = {
@@ -67,3 +68,12 @@ def test_box_join_meets_every_pair(spark):
     got = G.box_join(spark.createDataFrame(left, schema.format("land")), spark.createDataFrame(right, schema.format("scene")), ["g"], 20.0).select("land", "scene").collect()
     meet = lambda a, b: b[2] is None or (a[2] <= b[4] and b[2] <= a[4] and a[3] <= b[5] and b[3] <= a[5])
     assert sorted(map(tuple, got)) == sorted((a[0], b[0]) for a in left for b in right if a[1] == b[1] and meet(a, b))
+
+
+def test_bootstrap_interval_is_registered_with_the_defaults(spark, monkeypatch):
+    """2000 resamples and ten lands at least: no argument cuts the operator's own defaults."""
+    seen, real = [], V.bootstrap
+    monkeypatch.setattr(V, "bootstrap", lambda *a, **kw: seen.append(inspect.signature(real).bind(*a, **kw)) or {})
+    catalog.QUERIES["bootstrap_interval"](spark, "/root/testdata/sf0.001")
+    seen[0].apply_defaults()
+    assert (seen[0].arguments["resamples"], seen[0].arguments["min_lands"]) == (2000, 10)

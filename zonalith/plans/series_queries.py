@@ -200,7 +200,7 @@ def bootstrap_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bootstrap_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG14, CD12: the whole validation job as one row."""
-    out = V.bootstrap(pairs(spark, sf_dir), "land", "native", "estimated", "reference", min_lands=5, resamples=500)
+    out = V.bootstrap(pairs(spark, sf_dir), "land", "native", "estimated", "reference")
     return spark.createDataFrame([tuple(out.get(k) for k in ("status", "n_pairs", "n_lands", "ci95_lower", "ci95_upper", "supported"))], "status string, n_pairs long, n_lands long, ci95_lower double, ci95_upper double, supported boolean")
 
 
