@@ -283,3 +283,20 @@ def test_toxicity_held_out(spark):
 
 def test_sha_of_nothing():
     assert decontam.digest([]) == hashlib.sha256(b"").hexdigest()
+
+
+def test_toxicity_learns_from_all_of_a_long_text(spark):
+    """Texts of over 20,000 distinct n-grams: weights stand in the highest slots too, as over all features."""
+    shared = cases.prose(400, 90)
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(9000)) + (" " + shared if k % 2 else ""), "s") for k in range(16)]
+    docs = cases.documents(spark, rows)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(16)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64(F.lit(41), F.col("doc_id").cast("string"))).collect()]
+    feats = []
+    for k in order:
+        for lo, hi, data, at in W.slices(pa.array([rows[k][1]])):
+            feats.append(np.sort(toxicity.features(W.find(data, at, W.ALNUM_MASK, lower=True), toxicity.BITS)[1]))
+    want = toxicity.ftrl(feats, np.array([k % 2 for k in order]))
+    assert min(map(len, feats)) > 20_000 and want.slots.max() > 0.9 * (1 << toxicity.BITS)
+    assert np.array_equal(model.slots, want.slots) and np.allclose(model.weights, want.weights)

@@ -12,7 +12,7 @@ only, the model is the smoothed share of toxic labels; a document with several l
 labels on none; ties in the sampling hash fall by id; repeated rows score alike; other columns pass through.
 
 Scale: features are made where the documents are; only the sampled rows' slot numbers move, to one training task of at
-most max_train rows with at most `max_features` slots each. That cut holds for training rows alone.
+most max_train rows, each with all its distinct slots (at most 2 ** bits); sorted before, they come batch by batch.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from zonalith.llm import words as W
 from zonalith.session import reach_workers
 
 BITS = 20
-MAX_TRAIN, MAX_FEATURES, EPOCHS = 12_000, 20_000, 5
+MAX_TRAIN, EPOCHS = 12_000, 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 12.0, 0.5
 MOST_UP = 2.0
 
@@ -110,18 +110,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for lo, hi, data, at in W.slices(batch.column("text")):
                 doc, slot = features(W.find(data, at, W.ALNUM_MASK, lower=True), bits)
                 cut = np.searchsorted(doc, np.arange(hi - lo + 1))
-                ids += [slot[a:b][:MAX_FEATURES].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                ids += [slot[a:b].astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("r"), pa.array(ids, pa.binary())], names=["y", "r", "slots"])
 
     made = rows.select("text", "y", "r").mapInArrow(extract, "y int, r long, slots binary")
 
     def train(batches):
-        got = [b for batch in batches for b in batch.to_pylist()]
-        got.sort(key=lambda x: (x["r"], x["y"], x["slots"]))
-        m = ftrl([np.frombuffer(x["slots"], np.int32) for x in got], np.array([x["y"] for x in got]), bits)
+        rows, y = [], []
+        for batch in batches:
+            rows += [np.frombuffer(x, np.int32) for x in batch.column("slots").to_pylist()]
+            y += batch.column("y").to_pylist()
+        m = ftrl(rows, np.array(y), bits)
         yield pa.RecordBatch.from_arrays([pa.array([m.bias]), pa.array([m.slots.astype(np.int32).tobytes()], pa.binary()), pa.array([m.weights.tobytes()], pa.binary())], names=["b", "s", "w"])
 
-    got = made.repartition(1).mapInArrow(train, "b double, s binary, w binary").collect()
+    got = made.repartition(1).sortWithinPartitions("r", "y", "slots").mapInArrow(train, "b double, s binary, w binary").collect()
     if not got:
         return ftrl([], np.zeros(0), bits)
     return Model(got[0]["b"], np.frombuffer(got[0]["s"], np.int32).astype(np.int64), np.frombuffer(got[0]["w"]), bits)
