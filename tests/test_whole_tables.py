@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonalith.operators import geometry as G, incremental as I, temporal as T, validation as V
-from zonalith.plans import catalog
+from zonalith.plans import bindings as B, catalog, pipeline
 
 CUTS = {
     "trend_class": " AND id % 9 = 0",
@@ -77,3 +77,26 @@ def test_bootstrap_interval_is_registered_with_the_defaults(spark, monkeypatch):
     catalog.QUERIES["bootstrap_interval"](spark, "/root/testdata/sf0.001")
     seen[0].apply_defaults()
     assert (seen[0].arguments["resamples"], seen[0].arguments["min_lands"]) == (2000, 10)
+
+
+def test_observe_splits_adds_context_and_promotes(spark):
+    rows = [("L1", s, 1.0, code if k < 40 else 4, 0.05, 0.08, 0.1, 0.5, 0.2) for s, code in (("clear", 4), ("cloud", 9), ("snow", 11)) for k in range(64)]
+    cells = spark.createDataFrame(rows, "land_id string, scene_id string, coverage double, scl int, b02 double, b03 double, b04 double, b08 double, b11 double")
+    lands = spark.createDataFrame([("L1", "T", 1.6, "high", True)], "land_id string, tenant_id string, acres double, geometry_confidence string, buffered boolean")
+    ring = spark.createDataFrame([("L1", "clear", 0.6, 0.01, 25, "real")], "land_id string, scene_id string, median double, mad double, n_cells int, tier string")
+    scenes = spark.createDataFrame([("clear", "2026-09-01")], "scene_id string, day string").select("scene_id", F.to_date("day").alias("acquisition_date"))
+    got = {r.scene_id: r for r in pipeline.observe(cells, lands, ring, scenes).collect()}
+    assert {k: r.outcome for k, r in got.items()} == {"clear": "accepted", "cloud": "rejected", "snow": "rejected"}
+    ok = got["clear"]
+    assert ok.observed_ndvi == ok.ndvi_value and ok.parcel_context_delta == pytest.approx(ok.ndvi_value - 0.6) and ok.context_present
+    assert "cloud" in got["cloud"].reject_reason and got["snow"].reject_reason and got["cloud"].observed_ndvi is None
+
+
+def test_measured_and_radar_queries(spark, sf_dir):
+    """Every land and scene has its outcome by its real classes; radar measures the newest pass of each land only."""
+    out = catalog.QUERIES["measured_observations"](spark, sf_dir).collect()
+    keys = {(r.field, r.scene) for r in B.cells(spark, sf_dir).select("field", "scene").distinct().collect()}
+    assert len(out) == len(keys) and {(r.land_id, r.scene_id) for r in out} == keys
+    assert all((r.outcome == "rejected") == (r.reject_reason is not None) == (r.observed_ndvi is None) for r in out)
+    radar = catalog.QUERIES["radar_observations"](spark, sf_dir).collect()
+    assert sorted(r.land_id for r in radar) == sorted({k for k, _ in keys})

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from zonalith.functions import geo, spectral as S
-from zonalith.operators import geometry as G, raster
+from zonalith.operators import geometry as G, raster, stats
 from zonalith.plans import bindings as B, pipeline
 from zonalith.plans.catalog import query
 from zonalith.session import new_path
@@ -120,13 +120,33 @@ def field_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.parcels(spark, sf_dir).select("land", "geojson").mapInArrow(run, "land long, area double, eroded boolean, buffer double")
 
 
-@query()
-def measured_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CD1-CD4, CD8: cells to graded observations, split, given context and promoted."""
+def _measured(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cells, lands, and the date of each scene."""
     c = B.cells(spark, sf_dir)
     cells = c.select(F.col("field").alias("land_id"), F.col("scene").alias("scene_id"), F.col("w").alias("coverage"), "scl", F.col("a").alias("b08"), (F.col("b") / 4).alias("b04"), F.col("g").alias("b03"), (F.col("b") / 2).alias("b11"), (F.col("g") / 2).alias("b02"))
     lands = B.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("land_id"), F.lit("t").alias("tenant_id"), (F.col("s_suppkey") % 5 / 2.0).alias("acres"), F.when(F.col("s_suppkey") % 3 == 0, "low").otherwise("high").alias("geometry_confidence"), (F.col("s_suppkey") % 2 == 0).alias("buffered"))
-    return pipeline.measure_optical(cells.withColumn("scl", F.when(F.col("scl") > 6, 4).otherwise(F.col("scl"))), lands)
+    scenes = B.table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("scene_id")).agg(F.max(F.col("l_shipdate").cast("date")).alias("acquisition_date"))
+    return cells, lands, scenes
+
+
+@query()
+def measured_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CD1, CD4, CD8: cells to graded observations by their real classes, split, given context and promoted. A land's context is the
+    crop cells of the lands numbered next to it."""
+    cells, lands, scenes = _measured(spark, sf_dir)
+    v = stats.crop_mask(S.nd(F.col("b08"), F.col("b04")), F.col("scl"))
+    near = cells.select(F.explode(F.array(F.col("land_id") - 1, F.col("land_id") + 1)).alias("land_id"), "scene_id", v.alias("v"), F.lit(1.0).alias("one"))
+    ring = stats.context_summary(near, pipeline.KEYS, "v", "one").select(*pipeline.KEYS, "median", "mad", "n_cells", G.ring_tier(F.col("n_cells")).alias("tier"))
+    return pipeline.observe(cells, lands, ring, scenes)
+
+
+@query()
+def radar_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CD3, JN5: the newest pass of each land, measured by radar."""
+    cells, lands, scenes = _measured(spark, sf_dir)
+    newest = pipeline.newest_pass(cells.select(*pipeline.KEYS).distinct().join(scenes, "scene_id"))
+    own = cells.join(newest, pipeline.KEYS, "left_semi").withColumnsRenamed({"b08": "vv", "b04": "vh"})
+    return pipeline.measure_radar(own, lands)
 
 
 @query("SELECT user_id AS land, CAST(ts AS DATE) AS day, count(*) AS n, max(event_id) AS last FROM events GROUP BY 1, 2")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from zonalith.functions import evidence as E, spectral as S
 from zonalith.operators import intelligence, stats
@@ -65,6 +65,12 @@ def measure_radar(cells: DataFrame, lands: DataFrame) -> DataFrame:
     return s.select(*KEYS, "tenant_id", F.lit(None).cast("double").alias("ndvi_value"), *[F.round(c, 4).alias(c) for c in ("rvi_mean", "rvi_std", "cross_ratio_db", "vv_db", "vh_db", "epc")], q["quality"].alias("quality_score"), q["confidence"].alias("confidence_score"), q["level"].alias("confidence_level"), E.radar_gate(F.col("epc"), F.col("n")).alias("reject_reason"))
 
 
+def newest_pass(passes: DataFrame) -> DataFrame:
+    """JN5: the newest pass of each land, ties by scene. passes: land_id, scene_id, acquisition_date."""
+    newest = F.row_number().over(Window.partitionBy("land_id").orderBy(F.col("acquisition_date").desc_nulls_last(), "scene_id"))
+    return passes.withColumn("back", newest).where("back = 1").drop("back")
+
+
 def split_outcomes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected rows."""
     return rows.where("reject_reason is null"), rows.where("reject_reason is not null")
@@ -81,3 +87,13 @@ def enrich_context(observations: DataFrame, ring: DataFrame) -> DataFrame:
 def promote(observations: DataFrame) -> DataFrame:
     """CD8."""
     return intelligence.observed(observations)
+
+
+def observe(cells: DataFrame, lands: DataFrame, ring: DataFrame, scenes: DataFrame) -> DataFrame:
+    """CD1, CD4, CD8: cells measured and split; accepted rows get context and are promoted, rejected ones keep their reason.
+    scenes: scene_id, acquisition_date."""
+    good, bad = split_outcomes(measure_optical(cells, lands))
+    own = enrich_context(good, ring).join(scenes, "scene_id", "left")
+    record = promote(own).select(*KEYS, "observed_ndvi", "parcel_context_delta", "parcel_context_robust_z", "evidence.context_present", "intelligence_status")
+    accepted = own.select(*good.columns, "acquisition_date").join(record, KEYS, "left").withColumn("outcome", F.lit("accepted"))
+    return accepted.unionByName(bad.withColumn("outcome", F.lit("rejected")), allowMissingColumns=True)
