@@ -273,3 +273,37 @@ def test_pipeline_measures(spark):
     ring = frame(spark, [("L1", "A", 0.6, 0.01, 25, "real")], "land_id string, scene_id string, median double, mad double, n_cells int, tier string")
     rec = pipeline.promote(pipeline.enrich_context(good, ring).withColumn("acquisition_date", F.lit("2026-09-01").cast("date"))).first()
     assert rec.observed_or_predicted == "observed" and rec.parcel_context_delta == pytest.approx(a.ndvi_value - 0.6) and rec.estimated_ndvi is None
+
+
+def test_mask_fractions_leave_no_data_out(spark):
+    """Class 0 and cells without a class are not of the field; class 2 is shadow and dark; class 7 is unaccounted."""
+    rows = [(1, 4, 1.0), (1, 4, 0.5), (1, 0, 1.0), (1, None, 1.0), (1, 7, 0.5), (1, 2, 1.0), (1, 9, 0.0), (2, 0, 1.0)]
+    got = {r.f: r for r in stats.mask_fractions(spark.createDataFrame(rows, "f int, scl int, w double"), ["f"], "scl", "w").collect()}
+    one = got[1]
+    assert (one.n_field_pixels, one.n_crop_pixels, one.epc_total, one.epc_crop) == (4, 2, 3.0, 1.5)
+    assert (one.crop_fraction, one.unaccounted_fraction, one.cloud_fraction) == (0.5, 0.5 / 3, 0.0)
+    assert one.shadow_fraction == one.dark_fraction == 1 / 3
+    assert (got[2].n_field_pixels, got[2].epc_total, got[2].crop_fraction) == (0, 0.0, 0.0)
+
+
+def test_dilation_grows_onto_unclassified(spark):
+    """Cloud and cloud shadow reach class 7, not class 0; in two steps past a cell of no data too."""
+    rows = [(0, c, k) for c, k in enumerate((9, 7, 4, 4, 0, 3, 0, 4, 10))] + [(1, c, 4) for c in range(9)]
+    cells = spark.createDataFrame([(1, *r) for r in rows], "f int, r int, c int, scl int")
+    for rounds in (1, 2):
+        code = {(r, c): k for r, c, k in rows}
+        at = lambda wanted: {(r + a, c + b) for (r, c), k in code.items() if k in wanted for a in range(-2, 3) for b in range(-2, 3) if abs(a) + abs(b) <= rounds}  # noqa: B023, E731
+        want = {p: 9 if k not in (0, 8, 9, 10) and p in at((8, 9, 10)) else 3 if k not in (0, 8, 9, 10) and p in at((3,)) else k for p, k in code.items()}
+        assert {(r.r, r.c): r.scl for r in stats.dilate(cells, ["f"], "r", "c", "scl", rounds).collect()} == want
+
+
+def test_binary_target_touches_corners():
+    square = [np.array([[0.0, 0.0], [10.5, 0.0], [10.5, 10.5], [0.0, 10.5]])]
+    got = G.binary_target(square, 0.0, 20.0, 10.0, 2, 2)
+    assert got.tolist() == [[1, 1], [1, 1]]
+    assert G.binary_target([square[0] * (10 / 10.5)], 0.0, 20.0, 10.0, 2, 2).tolist() == [[0, 0], [1, 0]]
+    rng = np.random.default_rng(3)
+    for _ in range(30):
+        ring = rng.uniform(3, 57, (3, 2))
+        cover = np.array([[abs(G.ring_area(p)) if len(p := G.clip(ring, 10.0 * c, 50.0 - 10 * r, 10.0 * c + 10, 60.0 - 10 * r)) >= 3 else 0 for c in range(6)] for r in range(6)])
+        assert ((cover > 1e-9) <= (G.binary_target([ring], 0.0, 60.0, 10.0, 6, 6) > 0)).all()

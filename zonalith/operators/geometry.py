@@ -103,10 +103,24 @@ def coverage(rings: list[np.ndarray], x0: float, y0: float, size: float, rows: i
 
 
 def binary_target(rings: list[np.ndarray], x0: float, y0: float, size: float, rows: int, cols: int) -> np.ndarray:
-    """GE4: 1 for every cell that the polygon touches, to the half diagonal of a cell."""
+    """GE4: 1 for every cell that the polygon touches: its centre is inside, or an edge crosses the cell. Edge by edge, over the
+    cells of the edge's own box, so that memory is that of the grid."""
     j, i = np.meshgrid(np.arange(cols), np.arange(rows))
-    x, y = (x0 + (j + 0.5) * size).ravel(), (y0 - (i + 0.5) * size).ravel()
-    return (distance(rings, x, y) <= size / 2).astype(float).reshape(rows, cols)
+    out = inside(rings, (x0 + (j + 0.5) * size).ravel(), (y0 - (i + 0.5) * size).ravel()).reshape(rows, cols)
+    # In units of cells, down and right from the upper left corner.
+    grid = [np.stack([(r[:, 0] - x0) / size, (y0 - r[:, 1]) / size], axis=1) for r in rings]
+    for r in grid:
+        for (ax, ay), (bx, by) in zip(r, np.roll(r, -1, axis=0), strict=True):
+            c0, c1 = max(math.floor(min(ax, bx)), 0), min(math.ceil(max(ax, bx)), cols)
+            r0, r1 = max(math.floor(min(ay, by)), 0), min(math.ceil(max(ay, by)), rows)
+            if c0 >= c1 or r0 >= r1:
+                continue
+            cx, cy = np.arange(c0, c1)[None, :] + 0.5, np.arange(r0, r1)[:, None] + 0.5
+            dx, dy = bx - ax, by - ay
+            # The edge's line passes through the open cell when its corners are not all on one side.
+            off = np.abs((cx - ax) * dy - (cy - ay) * dx)
+            out[r0:r1, c0:c1] |= off < 0.5 * (abs(dx) + abs(dy))
+    return out.astype(float)
 
 
 def is_convex(r: np.ndarray) -> bool:

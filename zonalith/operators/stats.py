@@ -154,16 +154,19 @@ def suppress_slivers(coverage: Column) -> Column:
 
 
 def mask_fractions(df: DataFrame, keys: Sequence[str], code: str, weight: str) -> DataFrame:
-    """AG5: share of each class in the field's weight, cell counts and effective pixels."""
-    w, kind = F.col(weight), scl_class(F.col(code))
-    total = F.sum(w)
-    share = lambda name: (F.coalesce(F.sum(F.when(kind == name, w)), F.lit(0.0)) / total).alias(f"{name}_fraction")
-    return df.where(w > 0).groupBy(*keys).agg(
-        *[share(n) for n in ("cloud", "shadow", "water", "saturated", "snow", "crop", "unaccounted")],
-        F.count("*").alias("n_field_pixels"),
+    """AG5: share of each class in the field's weight, cell counts and effective pixels. Cells without a code, or with that of
+    no data, are not of the field. Dark cells are a part of the shadow as well. A field without a cell has shares of 0."""
+    w = F.when((F.col(weight) > 0) & (F.col(code) != C.SCL_NO_DATA), F.col(weight))
+    kind = F.when(w.isNotNull(), scl_class(F.col(code)))
+    whole = lambda x: F.coalesce(F.sum(x), F.lit(0.0))
+    share = lambda name, of: F.coalesce(F.try_divide(whole(F.when(of, w)), F.sum(w)), F.lit(0.0)).alias(f"{name}_fraction")
+    return df.groupBy(*keys).agg(
+        *[share(n, kind == n) for n in ("cloud", "shadow", "water", "saturated", "snow", "crop", "unaccounted")],
+        share("dark", F.col(code).isin(*C.SCL_DARK)),
+        F.count(w).alias("n_field_pixels"),
         F.count_if(kind == "crop").alias("n_crop_pixels"),
-        total.alias("epc_total"),
-        F.coalesce(F.sum(F.when(kind == "crop", w)), F.lit(0.0)).alias("epc_crop"),
+        whole(w).alias("epc_total"),
+        whole(F.when(kind == "crop", w)).alias("epc_crop"),
     )
 
 
@@ -232,17 +235,16 @@ def layer_stats(df: DataFrame, keys: Sequence[str], layers: dict[str, Column], v
 
 
 def dilate(df: DataFrame, keys: Sequence[str], row: str, col: str, code: str, rounds: int = 1) -> DataFrame:
-    """GE5: cloud grows to 9 and shadow to 3 over the four neighbours, only onto cells with a valid code; cloud wins.
-    A cell's neighbours are found by dealing each masked cell to its four places and itself, one shuffle a round."""
-    out = df
+    """GE5: cloud grows to 9 and cloud shadow to 3 over `rounds` steps to the four neighbours, onto every cell but those of no data
+    and those of cloud, which stay as they are; cloud wins. What a cell can reach in so many steps is dealt out at once."""
     place = [*keys, row, col]
-    for _ in range(rounds):
-        kind = F.when(F.col(code).isin(*C.SCL_CLOUD), 2).when(F.col(code).isin(3), 1)
-        steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1))])
-        grown = out.where(kind.isNotNull()).select(*keys, F.col(row), F.col(col), kind.alias("k"), F.explode(steps).alias("s"))
-        grown = grown.select(*keys, (F.col(row) + F.col("s.a")).alias(row), (F.col(col) + F.col("s.b")).alias(col), "k").groupBy(*place).agg(F.max("k").alias("k"))
-        valid = ~F.col(code).isin(*C.SCL_INVALID)
-        masked = F.col(code).isin(*C.SCL_CLOUD)
-        new = F.when(valid & ~masked & (F.col("k") == 2), 9).when(valid & ~masked & (F.col("k") == 1), 3).otherwise(F.col(code))
-        out = out.join(grown, place, "left").withColumn(code, new).drop("k")
-    return out
+    kind = F.when(F.col(code).isin(*C.SCL_CLOUD), 2).when(F.col(code).isin(*C.SCL_CLOUD_SHADOW), 1)
+    reach = [(a, b) for a in range(-rounds, rounds + 1) for b in range(-rounds, rounds + 1) if 0 < abs(a) + abs(b) <= rounds]
+    if not reach:
+        return df
+    steps = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in reach])
+    grown = df.where(kind.isNotNull()).select(*keys, F.col(row), F.col(col), kind.alias("k"), F.explode(steps).alias("s"))
+    grown = grown.select(*keys, (F.col(row) + F.col("s.a")).alias(row), (F.col(col) + F.col("s.b")).alias(col), "k").groupBy(*place).agg(F.max("k").alias("k"))
+    open_ = (F.col(code) != C.SCL_NO_DATA) & ~F.col(code).isin(*C.SCL_CLOUD)
+    new = F.when(open_ & (F.col("k") == 2), 9).when(open_ & (F.col("k") == 1), 3).otherwise(F.col(code))
+    return df.join(grown, place, "left").withColumn(code, new).drop("k")

@@ -139,13 +139,14 @@ def histogram_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("field", *[F.col(f"s.{c}").alias(c) for c in ("mean", "std", "p10", "p50", "p90")])
 
 
-MASKS = """m AS (SELECT field, scene, w, CASE WHEN scl IN (8, 9, 10) THEN 'cloud' WHEN scl IN (2, 3) THEN 'shadow' WHEN scl = 6 THEN 'water' WHEN scl = 1 THEN 'saturated' WHEN scl = 11 THEN 'snow' WHEN scl IN (4, 5) THEN 'crop' ELSE 'unaccounted' END AS k FROM cells WHERE w > 0)"""
-SHARES = ", ".join(f"coalesce(sum(CASE WHEN k = '{n}' THEN w END), 0.0) / sum(w) AS {n}_fraction" for n in ("cloud", "shadow", "water", "saturated", "snow", "crop", "unaccounted"))
+MASKS = """m AS (SELECT field, scene, w, CASE WHEN scl IN (8, 9, 10) THEN 'cloud' WHEN scl IN (2, 3) THEN 'shadow' WHEN scl = 6 THEN 'water' WHEN scl = 1 THEN 'saturated' WHEN scl = 11 THEN 'snow' WHEN scl IN (4, 5) THEN 'crop' ELSE 'unaccounted' END AS k, scl FROM (SELECT field, scene, scl, CASE WHEN w > 0 AND scl <> 0 THEN w END AS w FROM cells) x)"""
+CLASSES = ("cloud", "shadow", "water", "saturated", "snow", "crop", "unaccounted")
+SHARES = ", ".join(f"coalesce(sum(CASE WHEN k = '{n}' THEN w END) / sum(w), 0.0) AS {n}_fraction" for n in CLASSES) + ", coalesce(sum(CASE WHEN scl = 2 THEN w END) / sum(w), 0.0) AS dark_fraction"
 
 
 @query(
-    f"""WITH {B.CELLS_SQL}, {MASKS}, t AS (SELECT field, scene, {SHARES}, count(*) AS n_field_pixels, count(*) FILTER (WHERE k = 'crop') AS n_crop_pixels, sum(w) AS epc_total, coalesce(sum(CASE WHEN k = 'crop' THEN w END), 0.0) AS epc_crop FROM m GROUP BY field, scene)
-SELECT field, scene, {", ".join(f"round({n}_fraction, 6) AS {n}_fraction" for n in ("cloud", "shadow", "water", "saturated", "snow", "crop", "unaccounted"))}, n_field_pixels, n_crop_pixels, round(epc_total, 6) AS epc_total, round(epc_crop, 6) AS epc_crop FROM t"""
+    f"""WITH {B.CELLS_SQL}, {MASKS}, t AS (SELECT field, scene, {SHARES}, count(w) AS n_field_pixels, count(w) FILTER (WHERE k = 'crop') AS n_crop_pixels, coalesce(sum(w), 0.0) AS epc_total, coalesce(sum(CASE WHEN k = 'crop' THEN w END), 0.0) AS epc_crop FROM m GROUP BY field, scene)
+SELECT field, scene, {", ".join(f"round({n}_fraction, 6) AS {n}_fraction" for n in (*CLASSES, "dark"))}, n_field_pixels, n_crop_pixels, round(epc_total, 6) AS epc_total, round(epc_crop, 6) AS epc_crop FROM t"""
 )
 def mask_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT3, AG5."""
@@ -319,13 +320,13 @@ def zone_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH g AS (SELECT l_suppkey AS field, CAST(l_orderkey % 12 AS INT) AS r, CAST(l_linenumber AS INT) AS c, max(CASE WHEN l_orderkey % 7 = 0 THEN 9 WHEN l_orderkey % 7 = 1 THEN 3 WHEN l_orderkey % 7 = 2 THEN 0 ELSE 4 END) AS scl FROM lineitem GROUP BY 1, 2, 3),
+    """WITH g AS (SELECT l_suppkey AS field, CAST(l_orderkey % 12 AS INT) AS r, CAST(l_linenumber AS INT) AS c, max(CASE WHEN l_orderkey % 7 = 0 THEN 9 WHEN l_orderkey % 7 = 1 THEN 3 WHEN l_orderkey % 7 = 2 THEN 0 WHEN l_orderkey % 7 = 3 THEN 7 ELSE 4 END) AS scl FROM lineitem GROUP BY 1, 2, 3),
 n AS (SELECT field, r + dr AS r, c + dc AS c, max(CASE WHEN scl IN (8, 9, 10) THEN 2 ELSE 1 END) AS k FROM g, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) s(dr, dc) WHERE scl IN (8, 9, 10, 3) GROUP BY 1, 2, 3)
-SELECT g.field, g.r, g.c, CASE WHEN scl NOT IN (0, 7) AND scl NOT IN (8, 9, 10) AND k = 2 THEN 9 WHEN scl NOT IN (0, 7) AND scl NOT IN (8, 9, 10) AND k = 1 THEN 3 ELSE scl END AS scl FROM g LEFT JOIN n ON g.field = n.field AND g.r = n.r AND g.c = n.c"""
+SELECT g.field, g.r, g.c, CASE WHEN scl <> 0 AND scl NOT IN (8, 9, 10) AND k = 2 THEN 9 WHEN scl <> 0 AND scl NOT IN (8, 9, 10) AND k = 1 THEN 3 ELSE scl END AS scl FROM g LEFT JOIN n ON g.field = n.field AND g.r = n.r AND g.c = n.c"""
 )
 def cloud_dilation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GE5."""
     k = F.col("l_orderkey") % 7
-    code = F.when(k == 0, 9).when(k == 1, 3).when(k == 2, 0).otherwise(4)
+    code = F.when(k == 0, 9).when(k == 1, 3).when(k == 2, 0).when(k == 3, 7).otherwise(4)
     g = B.table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("field"), (F.col("l_orderkey") % 12).cast("int").alias("r"), F.col("l_linenumber").cast("int").alias("c")).agg(F.max(code).alias("scl"))
     return stats.dilate(g, ["field"], "r", "c", "scl").select("field", "r", "c", "scl")

@@ -79,7 +79,7 @@ def block_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {B.PARCELS_SQL}, s AS (SELECT l_orderkey AS scene, CASE WHEN l_orderkey % 5 > 0 THEN 400000.0 + l_partkey % 9000 END AS x0, 1891000.0 + l_suppkey * 53 % 9000 AS y0 FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 40 = 0)
+    f"""WITH {B.PARCELS_SQL}, s AS (SELECT l_orderkey AS scene, CASE WHEN l_orderkey % 5 > 0 THEN 400000.0 + l_partkey % 9000 END AS x0, 1891000.0 + l_suppkey * 53 % 9000 AS y0 FROM lineitem WHERE l_linenumber = 1)
 SELECT land, scene FROM parcels, (SELECT DISTINCT * FROM s) s WHERE land % 3 = scene % 3 AND (x0 IS NULL OR (px <= x0 + 2000 AND x0 <= px + side AND py <= y0 + 2000 AND y0 <= py + side))"""
 )
 def scene_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ def promotable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.groupBy("land").agg(F.count("*").alias("n"), F.min("d").alias("first"), F.max("d").alias("last"), F.round(F.avg("v"), 6).alias("mean"))
 
 
-TREND = """w AS (SELECT land, d, v, id, date_diff('day', d, max(d) OVER (PARTITION BY land)) AS age, row_number() OVER (PARTITION BY land ORDER BY d DESC, id DESC) AS back, count(*) OVER (PARTITION BY land) AS n_all FROM series WHERE v IS NOT NULL AND id % 9 = 0),
+TREND = """w AS (SELECT land, d, v, id, date_diff('day', d, max(d) OVER (PARTITION BY land)) AS age, row_number() OVER (PARTITION BY land ORDER BY d DESC, id DESC) AS back, count(*) OVER (PARTITION BY land) AS n_all FROM series WHERE v IS NOT NULL),
 n AS (SELECT *, count(*) FILTER (WHERE age <= 21) OVER (PARTITION BY land) AS near FROM w),
 u AS (SELECT * FROM n WHERE CASE WHEN n_all < 3 THEN true WHEN near >= 3 THEN age <= 21 ELSE back <= 3 END),
 g AS (SELECT land, count(*) AS n_points, max(n_all) AS n_all, regr_slope(v, -CAST(age AS DOUBLE)) AS slope, max(age) - min(age) AS span, arg_max(v, d * 0 + CAST(id AS BIGINT)) AS x FROM (SELECT land, v, id, age, n_all, 0 AS d FROM u) q GROUP BY land),
@@ -65,7 +65,7 @@ def weighted_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("land", *[F.round(c, 6).alias(c) for c in ("intercept", "slope", "rmse")])
 
 
-FORECAST = """c AS (SELECT land, d, v AS y, greatest(0.05, least(1.0, q)) AS q, id FROM series WHERE v IS NOT NULL AND q >= 0.55 AND id % 5 < 4),
+FORECAST = """c AS (SELECT land, d, v AS y, greatest(0.05, least(1.0, q)) AS q, id FROM series WHERE v IS NOT NULL AND q >= 0.55),
 b AS (SELECT *, row_number() OVER (PARTITION BY land ORDER BY d DESC, y DESC, q DESC, id DESC) AS back, min(d) OVER (PARTITION BY land) AS origin FROM c),
 x AS (SELECT *, CAST(date_diff('day', origin, d) AS DOUBLE) AS x FROM b),
 h AS (SELECT land, count(*) AS n, max(d) AS latest, min(d) AS origin, max(CASE WHEN back = 1 THEN y END) AS ly, max(CASE WHEN back = 2 THEN d END) AS before, max(CASE WHEN back <= 4 THEN y END) - min(CASE WHEN back <= 4 THEN y END) AS spread FROM x GROUP BY land),
