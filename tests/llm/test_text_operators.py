@@ -243,6 +243,25 @@ def test_token_file_round_trip(spark):
     assert token_file.read_documents(token_file.write_files(cases.empty(spark), path)).count() == 0
 
 
+def test_word_encoder_equals_library():
+    """Awkward strings under the rules taken by word, with a store of words that fills up; other rules take whole texts."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    parts = "a b E é É ß × ÷ ÿ Ÿ À ' 's 'S 're 'LL 1 23 ٣ <| |> <|startoftext|> <|ENDOFTEXT|> <|endoftext|> . , %% _ - the ing ſ Σς 日本 ´ ́ İ ﬁ 😀 ² ½ ª µ".split(" ")
+    parts += [" ", "  ", "\n", "\t", "\x00", "\x1c", "\x85", "\xa0", "\u3000", "\x7f", "\xad", "\u200d"]
+    r = random.Random(3)
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(1, 30))) for _ in range(3000)]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        encoder, library = token_file.WordEncoder(path, 300), Tokenizer.from_file(path)
+        assert (encoder.words is None) == (name != "word_bpe_49k.json")
+        got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode([t.encode() for t in texts])]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("top", [2, 300, 49408, 2**32 - 1])
 def test_blocks(top):
     rng = np.random.default_rng(top)

@@ -11,13 +11,15 @@ Block layout, little-endian: minimum u32, width u8, exceptions u16, 256 * width
 Order: ascending id, null ids first, equal ids by hash of the text. Defined results: null and empty texts have the end
 id alone; repeated rows are written as often as they stand; an empty table gives no segment; other columns are dropped.
 
-Scale: one range shuffle of the texts, into parts of about `part_bytes`; encoding, writing and reading back need no
-other. Only the number of ids in each part comes to the driver. Words are encoded once for each worker's cache, which
-holds `cache_words` words at most.
+Scale: texts are encoded where they are, and their ids, two bytes each while the vocabulary allows, are written to the
+shared folder; one range shuffle of these into parts of about `part_bytes`, at most MOST_PARTS, puts them in order. A task
+holds one segment. Only the number of ids in each part comes to the driver. Words are encoded once for each worker's
+store, which holds twice `cache_words` words at most.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import zlib
@@ -29,13 +31,31 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from zonalith.llm import words as W
-from zonalith.session import reach_workers, small_batches, staged
+from zonalith.session import drop_staged, reach_workers, staged
 
-BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 32 << 20, 550_000
+BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 16 << 20, 220_000
+#: Parts of the range shuffle at most; beyond, parts grow, and a task's rows are sorted on disk and taken segment by segment.
+MOST_PARTS = 1 << 14
 HEADER = 7
-LETTER = rb"[a-z]|\xc3[\x9f-\xb6\xb8-\xbf]"
-STOP = re.compile(rb"(?:" + LETTER + rb")[.,]\Z")
-PLAIN = re.compile(rb"(?:" + LETTER + rb")+")
+#: The rules of the tokenizer file whose texts can be taken word by word.
+RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+#: Words of printable ASCII and Latin-1 letters, and the rules' cut of them once their letters are small.
+SIMPLE = re.compile(rb"(?:[!-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+LETTER = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])"
+PIECE = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|" + LETTER + rb"+|[0-9]|(?:(?!" + LETTER + rb")[^0-9])+")
+#: The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on.
+_own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+BYTE_CHARS = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _own)}
 SEGMENTS = "part int, seq int, at long, n_ids long, doc_ids array<long>, lengths array<long>, blocks binary, payload binary"
 
 
@@ -117,64 +137,61 @@ def decode_blocks(blocks: bytes, payload: bytes, n_ids: int) -> np.ndarray:
     return (x + low[:, None]).astype(np.uint32).reshape(-1)[:n_ids]
 
 
+class Words(dict):
+    """Ids by word, little-endian u32. A word not known yet is encoded when asked for. When there are `most`, they become the old
+    ones, of which those asked for again come back, and the old ones before them are dropped."""
+
+    def __init__(self, tokenizer, most: int):
+        self.tokenizer, self.tokenize, self.most, self.old = tokenizer, tokenizer.model.tokenize, most, {}
+
+    def piece(self, x: bytes) -> bytes:
+        return self.get(x) or self.old.get(x) or array("I", [t.id for t in self.tokenize(x.decode("latin-1").translate(BYTE_CHARS))]).tobytes()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            if word.isalpha() and word.islower():
+                ids = array("I", [t.id for t in self.tokenize(word.decode())]).tobytes()
+            elif SIMPLE.fullmatch(word) and b"<|" not in word:
+                ids = b"".join(map(self.piece, PIECE.findall(word.decode().lower().encode())))
+            else:
+                ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
-    """Ids of texts as the library gives them, a word at a time: its rules cut at white space, so a text's ids are those
-    of its words (runs of anything but ASCII white space) one after another. Words of lower-case Latin-1 letters pass
-    the rules unchanged and go to a copy of the tokenizer without them."""
+    """Ids of texts as the library gives them. Under the rules of RULES a text's ids are those of its words (runs of anything
+    but ASCII white space) one after another, and a word of printable ASCII and Latin-1 letters is cut by PIECE into pieces that go
+    to the library's model as they are; any other word goes through the whole tokenizer. A tokenizer of other rules gets whole texts."""
 
     def __init__(self, tokenizer_file: str, cache_words: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.plain = Tokenizer(self.tokenizer.model)  # the same model in memory
-        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.cache, self.most = Cache(), cache_words
+        made = json.loads(self.tokenizer.to_str())
+        by_word = {k: made[k] for k in ("normalizer", "pre_tokenizer", "post_processor")} == RULES and made["model"]["type"] == "BPE"
+        special = [t["content"] for t in made["added_tokens"]]
+        if by_word:
+            # Words come to the model once: its own store of words would only cost time.
+            self.tokenizer.model._resize_cache(0)
+        self.words = Words(self.tokenizer, cache_words) if by_word and all(t.startswith("<|") and not t.split()[1:] for t in special) else None
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian u32."""
-        cache = self.cache
-        if len(cache) > self.most:
-            cache.clear()
-        split, got, short = [], [], []
-        for k, t in enumerate(texts):
-            # The rules make letters small; done here, it makes fewer distinct words.
-            words, before = (t if b"<|" in t else t.lower()).split(), len(cache.new)
-            split.append(words)
-            got.append([*map(cache.__getitem__, words)])
-            if len(cache.new) > before or None in got[k]:
-                short.append(k)
-        if short:
-            self._learn()
-        for k in short:
-            got[k] = map(cache.__getitem__, split[k])
-        return [b"".join(ids) for ids in got]
-
-    def _learn(self) -> None:
-        """Encode the words asked for in vain. A stop behind a letter is a cut, too: such a word is its letters' ids and the stop's."""
-        cache, new = self.cache, self.cache.new
-        stopped = {w: w[:-1] for w in new if STOP.search(w)}
-        bases = (new - stopped.keys()) | {b for b in stopped.values() if b not in cache} | {b".", b","}
-        plain = {w for w in bases if PLAIN.fullmatch(w)}
-        for tokenizer, own in ((self.plain, [*plain]), (self.tokenizer, [*(bases - plain)])):
-            for lo in range(0, len(own), 1024):
-                part = own[lo : lo + 1024]
-                made = tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-                cache.update([(w, array("I", e.ids).tobytes()) for w, e in zip(part, made, strict=True)])
-        cache.update([(w, cache[b] + cache[w[-1:]]) for w, b in stopped.items()])
-        new.clear()
-
-
-class Cache(dict):
-    """Ids by word; notes words it does not have."""
-
-    def __init__(self):
-        self.new: set[bytes] = set()
-
-    def __missing__(self, word: bytes) -> None:
-        self.new.add(word)
+        if self.words is None:
+            made = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [array("I", e.ids).tobytes() for e in made]
+        get = self.words.__getitem__
+        # The rules make letters small; done here, it makes fewer distinct words. Special strings keep their case.
+        return [b"".join(map(get, (t if b"<|" in t else t.lower()).split())) for t in texts]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -187,49 +204,65 @@ def encoder_for(tokenizer_file: str) -> WordEncoder:
     return _encoders[tokenizer_file]
 
 
+ENCODED = "id long, tie long, wide boolean, ids binary"
+
+
+def encode_texts(df: DataFrame, tokenizer_file: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, tie, wide, ids) of each row where it is: ids in two bytes each, or four if `wide`."""
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"), F.col(text_col).alias("text"))
+
+    def run(batches):
+        encoder = encoder_for(tokenizer_file)
+        wide = encoder.wide or end_id >= 1 << 16
+        end = np.array([end_id], dtype="<u4").tobytes()
+        for batch in batches:
+            for lo, hi, data, docs in W.slices(batch.column(2)):
+                raw = data.tobytes()
+                got = encoder.encode([raw[a:b] for a, b in zip(docs[:-1].tolist(), docs[1:].tolist(), strict=True)])
+                ids = [x + end for x in got] if wide else [np.frombuffer(x + end, "<u4").astype("<u2").tobytes() for x in got]
+                own = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([wide] * (hi - lo)), pa.array(ids, pa.binary())], names=["id", "tie", "wide", "ids"])
+
+    return own.mapInArrow(run, ENCODED)
+
+
 def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Encode all texts, write them as segments and give the table of segments as read back."""
     reach_workers(df.sparkSession)
-    own = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    total = own.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    parts = max(1, math.ceil(total / part_bytes))
-    tie = F.xxhash64("text")
-    own = own.withColumn("tie", tie).repartitionByRange(parts, F.col("id").asc_nulls_first(), "tie")
-    own = own.sortWithinPartitions(F.col("id").asc_nulls_first(), "tie").select("id", "text")
+    encoded = staged(encode_texts(df, tokenizer_file, end_id, id_col, text_col), "encoded")
+    total = encoded.agg(F.sum(F.octet_length("ids") + 16)).first()[0] or 0
+    parts = min(MOST_PARTS, max(1, math.ceil(total / part_bytes)))
+    order = [F.col("id").asc_nulls_first(), F.col("tie")]
+    own = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "wide", "ids")
 
     def run(batches):
-        encoder = encoder_for(tokenizer_file)
-        end = np.array([end_id], dtype="<u4").tobytes()
         part, seq, at = TaskContext.get().partitionId(), 0, 0
         ids: list = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         held_n = 0
 
         def segment():
-            raw = np.frombuffer(b"".join(held), "<u4")
+            raw = np.concatenate(held)
             blocks, payload = encode_blocks(raw)
-            row = [[part], [seq], [at], [len(raw)], [ids], [[len(x) // 4 for x in held]], [blocks], [payload]]
+            row = [[part], [seq], [at], [len(raw)], [ids], [[len(x) for x in held]], [blocks], [payload]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=[f.split(" ")[0] for f in SEGMENTS.split(", ")])
 
         for batch in batches:
-            names = batch.column(0).to_pylist()
-            for lo, hi, data, docs in W.slices(batch.column(1)):
-                raw = data.tobytes()
-                texts = [raw[a:b] for a, b in zip(docs[:-1].tolist(), docs[1:].tolist(), strict=True)]
-                for name, got in zip(names[lo:hi], encoder.encode(texts), strict=True):
-                    n = len(got) // 4 + 1
-                    if held and held_n + n > segment_ids:
-                        yield segment()
-                        seq, at, ids, held, held_n = seq + 1, at + held_n, [], [], 0
-                    ids.append(name)
-                    held.append(got + end)
-                    held_n += n
+            for name, wide, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                got = np.frombuffer(raw, "<u4" if wide else "<u2").astype(np.uint32)
+                if held and held_n + len(got) > segment_ids:
+                    yield segment()
+                    seq, at, ids, held, held_n = seq + 1, at + held_n, [], [], 0
+                ids.append(name)
+                held.append(got)
+                held_n += len(got)
         if held:
             yield segment()
 
-    with small_batches(df.sparkSession, 1000):
-        return staged(own.mapInArrow(run, SEGMENTS), "tokens")
+    out = staged(own.mapInArrow(run, SEGMENTS), "tokens")
+    drop_staged(encoded)
+    return out
 
 
 def read_documents(segments: DataFrame) -> DataFrame:
