@@ -81,7 +81,7 @@ def shard_digest(back: DataFrame) -> DataFrame:
 def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     segments = token_file.write_files(docs, tokenizer_path(WORD_MODEL))
-    return token_file.with_crc(token_file.read_documents(segments))
+    return token_file.read_documents(segments, crc=True)
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

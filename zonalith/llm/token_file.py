@@ -14,7 +14,7 @@ id alone; repeated rows are written as often as they stand; an empty table gives
 Scale: texts are encoded where they are, and their ids, two bytes each while the vocabulary allows, are written to the
 shared folder; one range shuffle of these into parts of about `part_bytes`, at most MOST_PARTS, puts them in order. A task
 holds one segment. Only the number of ids in each part comes to the driver. Words are encoded once for each worker's
-store, which holds twice `cache_words` words at most.
+store of MOST_WORDS words at most, about 30 bytes each.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 from zonalith.llm import words as W
 from zonalith.session import drop_staged, reach_workers, staged
 
-BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES, CACHE_WORDS = 256, 90, 1 << 18, 16 << 20, 220_000
+BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES = 256, 90, 1 << 17, 16 << 20
+MOST_WORDS, LONGEST = 1_000_000, 64
 #: Parts of the range shuffle at most; beyond, parts grow, and a task's rows are sorted on disk and taken segment by segment.
 MOST_PARTS = 1 << 14
 HEADER = 7
@@ -137,61 +138,90 @@ def decode_blocks(blocks: bytes, payload: bytes, n_ids: int) -> np.ndarray:
     return (x + low[:, None]).astype(np.uint32).reshape(-1)[:n_ids]
 
 
-class Words(dict):
-    """Ids by word, little-endian u32. A word not known yet is encoded when asked for. When there are `most`, they become the old
-    ones, of which those asked for again come back, and the old ones before them are dropped."""
-
-    def __init__(self, tokenizer, most: int):
-        self.tokenizer, self.tokenize, self.most, self.old = tokenizer, tokenizer.model.tokenize, most, {}
-
-    def piece(self, x: bytes) -> bytes:
-        return self.get(x) or self.old.get(x) or array("I", [t.id for t in self.tokenize(x.decode("latin-1").translate(BYTE_CHARS))]).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            if word.isalpha() and word.islower():
-                ids = array("I", [t.id for t in self.tokenize(word.decode())]).tobytes()
-            elif SIMPLE.fullmatch(word) and b"<|" not in word:
-                ids = b"".join(map(self.piece, PIECE.findall(word.decode().lower().encode())))
-            else:
-                ids = array("I", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
-        return ids
-
-
 class WordEncoder:
     """Ids of texts as the library gives them. Under the rules of RULES a text's ids are those of its words (runs of anything
     but ASCII white space) one after another, and a word of printable ASCII and Latin-1 letters is cut by PIECE into pieces that go
-    to the library's model as they are; any other word goes through the whole tokenizer. A tokenizer of other rules gets whole texts."""
+    to the library's model as they are; any other word goes through the whole tokenizer. A tokenizer of other rules gets whole texts.
+
+    Words of up to LONGEST bytes are told apart by 64 bits and encoded once: their ids stand one after another in `ids`, those of
+    hash[k] at start[k], count[k] of them. All are dropped when there would be more than `most`. Longer words are encoded each time."""
 
-    def __init__(self, tokenizer_file: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, tokenizer_file: str, most: int = MOST_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.tokenizer, self.most = Tokenizer.from_file(tokenizer_file), most
         made = json.loads(self.tokenizer.to_str())
         by_word = {k: made[k] for k in ("normalizer", "pre_tokenizer", "post_processor")} == RULES and made["model"]["type"] == "BPE"
         special = [t["content"] for t in made["added_tokens"]]
-        if by_word:
+        self.by_word = by_word and all(t.startswith("<|") and not t.split()[1:] for t in special)
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
+        if self.by_word:
             # Words come to the model once: its own store of words would only cost time.
             self.tokenizer.model._resize_cache(0)
-        self.words = Words(self.tokenizer, cache_words) if by_word and all(t.startswith("<|") and not t.split()[1:] for t in special) else None
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids as little-endian u32."""
-        if self.words is None:
-            made = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-            return [array("I", e.ids).tobytes() for e in made]
-        get = self.words.__getitem__
+            self.tokenize = self.tokenizer.model.tokenize
+        self.reset()
+
+    def reset(self) -> None:
+        self.hash, self.start, self.count, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), array("I")
+
+    def word(self, word: bytes) -> list[int]:
+        if word.isalpha() and word.islower():
+            return [t.id for t in self.tokenize(word.decode())]
+        if SIMPLE.fullmatch(word) and b"<|" not in word:
+            pieces = PIECE.findall(word.decode().lower().encode())
+            return [t.id for x in pieces for t in self.tokenize(x.decode("latin-1").translate(BYTE_CHARS))]
+        return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+
+    def places(self, h: np.ndarray, raw: bytes, w: W.Words, short: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of words with these hashes start, and how many they are."""
+        u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hash, u)
+        known = np.zeros(len(u), bool)
+        known[at < len(self.hash)] = self.hash[at[at < len(self.hash)]] == u[at < len(self.hash)]
+        if len(self.hash) + int((~known).sum()) > self.most:
+            self.reset()
+            at, known = np.zeros(len(u), np.int64), np.zeros(len(u), bool)
+        new = np.flatnonzero(~known)
+        if len(new):
+            counts, begin = [], len(self.ids)
+            for a, b in zip(w.starts[short[first[new]]].tolist(), w.ends[short[first[new]]].tolist(), strict=True):
+                got = self.word(raw[a:b])
+                counts.append(len(got))
+                self.ids.extend(got)
+            counts = np.array(counts, np.int32)
+            self.hash = np.insert(self.hash, at[new], u[new])
+            self.start = np.insert(self.start, at[new], begin + np.cumsum(counts) - counts)
+            self.count = np.insert(self.count, at[new], counts)
+            at = np.searchsorted(self.hash, u)
+        return self.start[at][inverse], self.count[at][inverse]
+
+    def encode(self, data: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, where each text's begin, and the end) of a slice of texts."""
+        raw = data.tobytes()
+        if not self.by_word:
+            texts = [raw[a:b].decode() for a, b in zip(docs[:-1].tolist(), docs[1:].tolist(), strict=True)]
+            made = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate([np.zeros(0, np.uint32), *made]), np.cumsum([0, *map(len, made)])
         # The rules make letters small; done here, it makes fewer distinct words. Special strings keep their case.
-        return [b"".join(map(get, (t if b"<|" in t else t.lower()).split())) for t in texts]
+        w = W.find(data, docs, W.SPACED_MASK, lower=b"<|" not in raw)
+        raw = w.data.tobytes()
+        long = w.ends - w.starts > LONGEST
+        short = np.flatnonzero(~long)
+        start, count = np.zeros(len(long), np.int64), np.zeros(len(long), np.int64)
+        start[short], count[short] = self.places(w.hash[short], raw, w, short)
+        kept = len(self.ids)
+        for k in np.flatnonzero(long).tolist():
+            got = self.word(raw[w.starts[k] : w.ends[k]])
+            start[k], count[k] = len(self.ids), len(got)
+            self.ids.extend(got)
+        ends = np.cumsum(count)
+        total = int(ends[-1]) if len(ends) else 0
+        out = np.frombuffer(self.ids, np.uint32)[np.repeat(start - (ends - count), count) + np.arange(total)] if total else np.zeros(0, np.uint32)
+        del self.ids[kept:]
+        return out, np.concatenate([[0], ends])[w.of]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -214,14 +244,14 @@ def encode_texts(df: DataFrame, tokenizer_file: str, end_id: int, id_col: str, t
     def run(batches):
         encoder = encoder_for(tokenizer_file)
         wide = encoder.wide or end_id >= 1 << 16
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4" if wide else "<u2").tobytes()
         for batch in batches:
             for lo, hi, data, docs in W.slices(batch.column(2)):
-                raw = data.tobytes()
-                got = encoder.encode([raw[a:b] for a, b in zip(docs[:-1].tolist(), docs[1:].tolist(), strict=True)])
-                ids = [x + end for x in got] if wide else [np.frombuffer(x + end, "<u4").astype("<u2").tobytes() for x in got]
+                ids, at = encoder.encode(data, docs)
+                ids = ids.astype("<u4" if wide else "<u2")
+                made = [ids[a:b].tobytes() + end for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                 own = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([wide] * (hi - lo)), pa.array(ids, pa.binary())], names=["id", "tie", "wide", "ids"])
+                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([wide] * (hi - lo)), pa.array(made, pa.binary())], names=["id", "tie", "wide", "ids"])
 
     return own.mapInArrow(run, ENCODED)
 
@@ -265,35 +295,26 @@ def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str
     return out
 
 
-def read_documents(segments: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens, ids (little-endian u32): one row for each document."""
+def read_documents(segments: DataFrame, crc: bool = False) -> DataFrame:
+    """doc_id, start (ids of all documents before), n_tokens, ids (little-endian u32), or instead of these ids_crc32: one row for
+    each document."""
     reach_workers(segments.sparkSession)
     before, starts = 0, {}
     for part, n in sorted(segments.groupBy("part").agg(F.sum("n_ids")).collect()):
         starts[part], before = before, before + n
+    last = "ids_crc32" if crc else "ids"
 
     def run(batches):
+        _encoders.clear()  # what this worker encoded with is done with
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in ("part", "at", "n_ids", "blocks", "payload")}
                 ids = decode_blocks(row["blocks"], row["payload"], row["n_ids"]).astype("<u4").tobytes()
-                ends = np.cumsum(np.array(row["lengths"], dtype=np.int64))
-                first = ends - row["lengths"]
-                out = [ids[4 * a : 4 * b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(first + starts[row["part"]] + row["at"]), pa.array(np.array(row["lengths"], np.int64)), pa.array(out, pa.binary())],
-                    names=["doc_id", "start", "n_tokens", "ids"],
-                )
-
-    # A batch of one segment: what is decoded at once stays small.
-    return segments.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
-
-
-def with_crc(documents: DataFrame) -> DataFrame:
-    """ids_crc32 in place of ids."""
-
-    def run(batches):
-        for batch in batches:
-            crc = [zlib.crc32(x) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return documents.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+                lengths = batch.column("lengths")[k].values
+                ends = np.cumsum(lengths.to_numpy())
+                first = ends - lengths.to_numpy()
+                own = [ids[4 * a : 4 * b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
+                own = pa.array([zlib.crc32(x) for x in own], pa.int64()) if crc else pa.array(own, pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_ids")[k].values, pa.array(first + starts[row["part"]] + row["at"]), lengths, own], names=["doc_id", "start", "n_tokens", last])
+
+    return segments.mapInArrow(run, f"doc_id long, start long, n_tokens long, {last} {'long' if crc else 'binary'}")
