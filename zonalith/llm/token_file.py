@@ -11,14 +11,16 @@ Block layout, little-endian: minimum u32, width u8, exceptions u16, 256 * width
 Order: ascending id, null ids first, equal ids by hash of the text. Defined results: null and empty texts have the end
 id alone; repeated rows are written as often as they stand; an empty table gives no segment; other columns are dropped.
 
-Scale: texts are encoded where they are, and their ids, two bytes each while the vocabulary allows, are written to the
-shared folder; one range shuffle of these into parts of about `part_bytes`, at most MOST_PARTS, puts them in order. A task
-holds one segment. Only the number of ids in each part comes to the driver. Words are encoded once for each worker's
-store of MOST_WORDS words at most, about 30 bytes each.
+Scale: texts are encoded where they are, and their ids, two bytes each while the vocabulary allows, go through one range
+shuffle into parts of about `part_bytes` of text, at most MOST_PARTS; beyond, parts grow. Its bounds are keys of a sample
+of about SAMPLE rows for each part, the only rows that come to the driver, beside the number of ids in each part. A task
+holds one segment; its rows are sorted by Spark, which spills. Words are encoded once for each worker's store of MOST_WORDS
+words at most, about 40 bytes each.
 """
 
 from __future__ import annotations
 
+import bisect
 import json
 import math
 import re
@@ -27,16 +29,15 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from zonalith.llm import words as W
-from zonalith.session import drop_staged, reach_workers, staged
+from zonalith.session import reach_workers, staged
 
-BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES = 256, 90, 1 << 17, 16 << 20
+BLOCK, PERCENTILE, SEGMENT_IDS, PART_BYTES = 256, 90, 1 << 17, 32 << 20
 MOST_WORDS, LONGEST = 1_000_000, 64
 #: Parts of the range shuffle at most; beyond, parts grow, and a task's rows are sorted on disk and taken segment by segment.
-MOST_PARTS = 1 << 14
+MOST_PARTS, SAMPLE = 1 << 14, 20
 HEADER = 7
 #: The rules of the tokenizer file whose texts can be taken word by word.
 RULES = {
@@ -234,24 +235,35 @@ def encoder_for(tokenizer_file: str) -> WordEncoder:
     return _encoders[tokenizer_file]
 
 
-ENCODED = "id long, tie long, wide boolean, ids binary"
+ENCODED = "part int, id long, tie long, wide boolean, ids binary"
 
 
-def encode_texts(df: DataFrame, tokenizer_file: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, tie, wide, ids) of each row where it is: ids in two bytes each, or four if `wide`."""
-    own = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tie"), F.col(text_col).alias("text"))
+def bounds_of(own: DataFrame, parts: int, rows: int, seed: int = 7) -> list[tuple]:
+    """The keys (id is not null, id, tie) at which the parts after the first begin, from about SAMPLE rows for each part."""
+    if parts < 2:
+        return []
+    seen = own.select("id", "tie").sample(min(1.0, SAMPLE * parts / rows), seed).collect()
+    keys = sorted({(r[0] is not None, r[0] or 0, r[1]) for r in seen})
+    return [keys[k * len(keys) // parts] for k in range(1, parts)] if keys else []
+
+
+def encode_texts(own: DataFrame, tokenizer_file: str, end_id: int, bounds: list[tuple]) -> DataFrame:
+    """(part, id, tie, wide, ids) of each row (id, tie, text) where it is: ids in two bytes each, or four if `wide`."""
+    shared = own.sparkSession.sparkContext.broadcast(bounds)
 
     def run(batches):
         encoder = encoder_for(tokenizer_file)
         wide = encoder.wide or end_id >= 1 << 16
         end = np.array([end_id], dtype="<u4" if wide else "<u2").tobytes()
         for batch in batches:
+            names, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            part = pa.array([bisect.bisect_right(shared.value, (i is not None, i or 0, t)) for i, t in zip(names, ties, strict=True)], pa.int32())
             for lo, hi, data, docs in W.slices(batch.column(2)):
                 ids, at = encoder.encode(data, docs)
                 ids = ids.astype("<u4" if wide else "<u2")
                 made = [ids[a:b].tobytes() + end for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                own = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), pa.array([wide] * (hi - lo)), pa.array(made, pa.binary())], names=["id", "tie", "wide", "ids"])
+                n = hi - lo
+                yield pa.RecordBatch.from_arrays([part.slice(lo, n), batch.column(0).slice(lo, n), batch.column(1).slice(lo, n), pa.array([wide] * n), pa.array(made, pa.binary())], names=["part", "id", "tie", "wide", "ids"])
 
     return own.mapInArrow(run, ENCODED)
 
@@ -259,14 +271,16 @@ def encode_texts(df: DataFrame, tokenizer_file: str, end_id: int, id_col: str, t
 def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES, segment_ids: int = SEGMENT_IDS) -> DataFrame:
     """Encode all texts, write them as segments and give the table of segments as read back."""
     reach_workers(df.sparkSession)
-    encoded = staged(encode_texts(df, tokenizer_file, end_id, id_col, text_col), "encoded")
-    total = encoded.agg(F.sum(F.octet_length("ids") + 16)).first()[0] or 0
-    parts = min(MOST_PARTS, max(1, math.ceil(total / part_bytes)))
-    order = [F.col("id").asc_nulls_first(), F.col("tie")]
-    own = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "wide", "ids")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    own = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    total, rows = own.agg(F.sum(F.octet_length("text") + 16), F.count("*")).first()
+    parts = min(MOST_PARTS, max(1, math.ceil((total or 0) / part_bytes)))
+    encoded = encode_texts(own, tokenizer_file, end_id, bounds_of(own, parts, rows))
+    order = [F.col("part"), F.col("id").asc_nulls_first(), F.col("tie")]
+    sorted_ = encoded.repartitionById(parts, F.col("part")).sortWithinPartitions(*order).select("part", "id", "wide", "ids")
 
     def run(batches):
-        part, seq, at = TaskContext.get().partitionId(), 0, 0
+        part, seq, at = None, 0, 0
         ids: list = []
         held: list[np.ndarray] = []
         held_n = 0
@@ -279,20 +293,20 @@ def write_files(df: DataFrame, tokenizer_file: str, end_id: int = 1, id_col: str
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=[f.split(" ")[0] for f in SEGMENTS.split(", ")])
 
         for batch in batches:
-            for name, wide, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for of, name, wide, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 got = np.frombuffer(raw, "<u4" if wide else "<u2").astype(np.uint32)
-                if held and held_n + len(got) > segment_ids:
+                if held and (of != part or held_n + len(got) > segment_ids):
                     yield segment()
                     seq, at, ids, held, held_n = seq + 1, at + held_n, [], [], 0
+                if of != part:
+                    part, seq, at = of, 0, 0
                 ids.append(name)
                 held.append(got)
                 held_n += len(got)
         if held:
             yield segment()
 
-    out = staged(own.mapInArrow(run, SEGMENTS), "tokens")
-    drop_staged(encoded)
-    return out
+    return staged(sorted_.mapInArrow(run, SEGMENTS), "tokens")
 
 
 def read_documents(segments: DataFrame, crc: bool = False) -> DataFrame:
