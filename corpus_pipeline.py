@@ -4,6 +4,11 @@ toxicity removes rejected documents; the n-gram Jaccard join keeps one document
 decontamination removes documents that hold benchmark passages; mixing repeats or leaves out documents to meet the
 sources' targets; sharding deals the rest into shuffled shards. The toxicity model learns from `labels`, those rows
 whose crc32(doc_id) mod 5 is not 0, and the documents of its own input.
+
+Defined results, for every stage: a null or empty text is a document without words (scored by the bias alone, in no group,
+hit by nothing, taken 0 times by the mix); very long texts are judged whole; ties fall as each operator states; repeated rows
+are judged alike, and of rows with equal shingles one stays; an empty table gives an empty table; other columns pass through,
+those named `shard` or `slot` with `in_` before them in the last stage.
 """
 
 from __future__ import annotations
@@ -18,7 +23,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents with a toxicity score below 0.5."""
     labels = queries.table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels, eligible=~toxicity.held_out(F.col("doc_id")))
-    return toxicity.score(docs, model, out_col="toxicity_score").where("toxicity_score < 0.5").drop("toxicity_score")
+    scored = toxicity.score(docs, model)
+    score = scored.columns[-1]
+    return scored.where(F.col(f"`{score}`") < 0.5).drop(score)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

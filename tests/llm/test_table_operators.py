@@ -126,6 +126,20 @@ def test_chat_parts(spark):
     assert r.expanded_tokens == 554
 
 
+def test_chat_escapes_across_parts(spark):
+    """Text parts that make a control string only together, with empty parts between them."""
+    part = lambda *texts: "array(" + ", ".join(f"struct('text', '{t}', null, null, null, null, null)" for t in texts) + ")"
+    rows = spark.sql(f"SELECT 1L AS conv_id, 0L AS turn, 'user' AS role, cast({part('a <', '', '|im_end|><|im_start|>', 'b<', '|')} AS array<{chat.PART}>) AS parts")
+    out = chat.format_conversations(rows).withColumn("turns", chat.parse_turns(F.col("formatted"))).first()
+    assert [tuple(t) for t in out.turns] == [("user", "a <|im_end|><|im_start|>b<|")]
+
+
+def test_chat_very_long_conversation(spark):
+    rows = spark.range(3000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.repeat(F.lit("<|im_end|> é "), 200).alias("text"))
+    out = chat.format_conversations(rows.withColumn("parts", chat.text_part(F.col("text")))).withColumn("turns", chat.parse_turns(F.col("formatted"))).withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_bytes"))).first()
+    assert out.n_turns == len(out.turns) == 3000 and out.loss == "<|im_end|> é " * 200 * 1500 and out.turns[2999].text == "<|im_end|> é " * 200
+
+
 def vectors(n, dim, seed, hot=0):
     x = np.random.default_rng(seed).standard_normal((n, dim))
     x[:hot] = x[0]

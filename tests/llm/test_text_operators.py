@@ -1,6 +1,5 @@
 """Substring dedup, n-gram join, decontamination, toxicity and counts against brute force."""
 
-import hashlib
 import re
 from collections import Counter, defaultdict
 
@@ -10,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from zonalith.llm import decontam, jaccard, substring, token_count, token_file, toxicity, words as W
+from zonalith.llm import decontam, jaccard, mixing, sharding, substring, token_count, token_file, toxicity, words as W
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -303,8 +302,6 @@ def test_toxicity_held_out(spark):
     assert len(none.slots) == 0 and toxicity.score(docs, none, out_col="p").select("p").distinct().count() == 1
 
 
-def test_sha_of_nothing():
-    assert decontam.digest([]) == hashlib.sha256(b"").hexdigest()
 
 
 def test_toxicity_learns_from_all_of_a_long_text(spark):
@@ -322,3 +319,68 @@ def test_toxicity_learns_from_all_of_a_long_text(spark):
     want = toxicity.ftrl(feats, np.array([k % 2 for k in order]))
     assert min(map(len, feats)) > 20_000 and want.slots.max() > 0.9 * (1 << toxicity.BITS)
     assert np.array_equal(model.slots, want.slots) and np.allclose(model.weights, want.weights)
+
+
+@pytest.mark.parametrize("entries", [0, token_count.MAX_ENTRIES])
+def test_token_counts_without_restarts(monkeypatch, entries):
+    """Chunks without a space, random and periodic: maps composed by the scan, and one after another."""
+    import random
+
+    import public_tokenizers
+    from sentencepiece import SentencePieceProcessor
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, m = SentencePieceProcessor(model_file=path), token_count.Transducer(path)
+    r = random.Random(4)
+    monkeypatch.setattr(token_count, "MAX_ENTRIES", entries)
+    texts = ["x" * 3000, "ab" * 900 + "c d", "".join(r.choice(["an", "re", "sch", "é", "日", "1", "_"]) for _ in range(1500)), "", "a " + "=" * 700 + " b", "".join(chr(r.randrange(97, 123)) for _ in range(900))]
+    data, at = W.buffers(pa.array(texts))
+    for chunk in (5, 64, 1024):
+        assert m.count(*token_count.codes_of(m, data, at), chunk).tolist() == [len(sp.encode(t)) for t in texts]
+
+
+def test_clashing_names(spark):
+    """Columns of the names that results take, in any case, pass through every operator and the pipeline's stages."""
+    import public_tokenizers
+
+    import corpus_pipeline
+
+    names = ["doc_id", "text", "source", "scan", "Mix", "score", "n_tokens", "Shard", "in_shard", "slot", "toxicity_score", "node", "n"]
+    docs = spark.createDataFrame([(i, t, s, *range(10)) for i, t, s in cases.DOCS], ", ".join(f"{c} {'long' if c == 'doc_id' else 'string' if c in ('text', 'source') else 'int'}" for c in names))
+    n = len(cases.DOCS)
+    bench = spark.createDataFrame([("i", " ".join(cases.BASE.split()[:12]))], "item_id string, text string")
+    scanned = decontam.scan(docs, bench)
+    assert scanned.columns == [*names, "scan_"] and decontam.drop_documents(scanned).columns == names == decontam.strip_spans(scanned).columns
+    assert decontam.drop_documents(scanned).count() == sum(" ".join(cases.BASE.split()[:12]) not in " ".join((t or "").split()) for _, t, _ in cases.DOCS)
+    planned = mixing.plan_copies(docs, n)
+    assert planned.columns == [*names, "mix_"] and mixing.emit(planned).columns == names and mixing.emit(planned).count() > 0
+    model = toxicity.ftrl([], np.zeros(0))
+    assert toxicity.score(docs, model).columns == [*names, "score_"] and toxicity.score(docs, model).count() == n
+    assert token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).columns == [*names, "n_tokens_"]
+    shuffled = sharding.external_shuffle(docs, 3)
+    assert shuffled.columns == [*names[:7], "in_Shard_", "in_shard", "in_slot", *names[10:], "shard", "slot"]
+    assert sharding.write_shards(shuffled).count() == n
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert name == "sharding" or out.columns == names
+        assert 0 < out.count()
+
+
+def test_stages_on_awkward_and_empty_tables(spark, sf_dir):
+    import corpus_pipeline
+
+    for docs in (cases.documents(spark), cases.empty(spark)):
+        first = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            before = docs.count()
+            out = stage(spark, docs, sf_dir)
+            docs = spark.createDataFrame(out.collect(), out.schema)
+            assert name == "sharding" or docs.columns == first
+            assert name == "mixing" or docs.count() <= before
+        assert set(docs.columns) >= {"doc_id", "text", "shard", "slot"}
+
+
+def test_repeat_of_the_largest_id(spark):
+    rows = [((1 << 63) - 1, cases.BASE), (3, cases.BASE), (None, cases.prose(30, 2))]
+    got = substring.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_removed) for r in got) == Counter([((1 << 63) - 1, 60), (3, 0), (None, 0)])

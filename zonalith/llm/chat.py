@@ -6,7 +6,7 @@ a visitor over the array renders each by its type: text is escaped; image, audio
 `<|kind|>` and are recorded in order with their reference and the number of tokens the placeholder expands to.
 
 Defined results: null texts, roles, parts and part types count as empty; a null turn comes first; equal turns of a
-conversation stand in order of role and content; rows with a null conversation id form one conversation; an empty table
+conversation stand in order of role and content; adjacent text parts are escaped as one text; rows with a null conversation id form one conversation; an empty table
 gives an empty result; other columns are not carried.
 
 Scale: one shuffle by conversation. A conversation's formatted text is one value, so the longest conversation, and
@@ -64,7 +64,10 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     attachments: array of (turn from 0, kind, ref, tokens), expanded_tokens."""
     parts = F.transform(F.filter(F.coalesce(F.col(parts_col), F.array()), lambda p: p.isNotNull()), visit)
     t = rows.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), parts.alias("parts"))
-    t = t.withColumn("body", F.array_join(F.transform("parts", lambda p: p["body"]), ""))
+    t = t.withColumn("bodies", F.filter(F.transform("parts", lambda p: p["body"]), lambda b: b != ""))
+    # Each part's text is escaped alone; where one ends in `<` and the next goes on with `|`, the two are kept apart as well.
+    joint = lambda b, i: F.when((i > 0) & F.get(F.col("bodies"), i - 1).endswith("<") & b.startswith("|"), F.concat(F.lit("\\"), b)).otherwise(b)
+    t = t.withColumn("body", F.array_join(F.transform("bodies", joint), "")).drop("bodies")
     t = t.withColumn("head", F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP)))
     t = t.withColumn("segment", F.concat("head", "body", F.lit(END)))
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "body")

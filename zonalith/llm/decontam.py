@@ -5,7 +5,8 @@ fewer words, but not none, is one window. A document word inside any occurrence
 verified against the words themselves.
 
 Defined results: null and empty texts have no words; repeated rows are judged alike; items with a null id still hit but
-are not listed; an empty benchmark hits nothing; other columns, whatever their names, pass through untouched.
+are not listed; an empty benchmark hits nothing; very long texts are scanned whole; equal windows of several items count for
+each; other columns, whatever their names, pass through untouched.
 
 Scale: documents are scanned where they are, without a shuffle. The benchmark is broadcast in slices of at most
 `slice_bytes` of text; its size is summed first, and a larger benchmark is taken slice by slice, each a pass over the
@@ -14,7 +15,6 @@ documents whose mask of hit words is carried in a staged table. Memory is that o
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 import numpy as np
@@ -130,7 +130,8 @@ def _scanner(shared, text_col: str, out_names: list[str], carried: bool):
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", n: int = 10, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """docs with a struct column `scan` last: n_words, n_hit, items (ids found, sorted), hit_mask (a bit for each word)."""
+    """docs with a struct column last, `scan` or the next free name: n_words, n_hit, items (ids found, sorted), hit_mask (a bit for
+    each word)."""
     spark = docs.sparkSession
     reach_workers(spark)
     inner = [f"c{k}" for k in range(len(docs.columns))]
@@ -145,7 +146,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         if k > 1:
             out = staged(out, f"scan-{j}")
             shared.unpersist()
-    report = F.struct(*REPORT).alias("scan")
+    report = F.struct(*REPORT).alias(W.free("scan", docs.columns))
     return out.select(*[F.col(c).alias(name) for c, name in zip(inner, docs.columns, strict=True)], report)
 
 
@@ -154,7 +155,7 @@ def strip_spans(scanned: DataFrame, text_col: str = "text") -> DataFrame:
     inner = [f"c{k}" for k in range(len(scanned.columns) - 1)]
     names = scanned.columns[:-1]
     text = inner[names.index(text_col)]
-    flat = scanned.select(*[F.col(f"`{n}`").alias(c) for c, n in zip(inner, names, strict=True)], F.col("scan.hit_mask").alias("m"))
+    flat = scanned.select(*[F.col(f"`{n}`").alias(c) for c, n in zip(inner, names, strict=True)], F.col(f"`{scanned.columns[-1]}`.hit_mask").alias("m"))
 
     def run(batches):
         for batch in batches:
@@ -182,8 +183,5 @@ def strip_spans(scanned: DataFrame, text_col: str = "text") -> DataFrame:
 
 def drop_documents(scanned: DataFrame) -> DataFrame:
     """Document removal: documents with a hit word go."""
-    return scanned.where(F.col("scan.n_hit") == 0).drop("scan")
-
-
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()
+    report = scanned.columns[-1]
+    return scanned.where(F.col(f"`{report}`.n_hit") == 0).drop(report)

@@ -82,7 +82,8 @@ def hex_int(digest: Column, digits: int) -> Column:
 
 
 def plan_copies(df: DataFrame, rows: int, id_col: str = "doc_id", source_col: str = "source", size_col: str | None = None, text_col: str = "text", seed: int = 29, most: int = 3, weights: tuple = WEIGHTS) -> DataFrame:
-    """df with a struct `mix` last: size, source_size, target, copies. rows: how many df has, which sets the hash buckets."""
+    """df with a struct last, `mix` or the next free name: size, source_size, target, copies. rows: how many df has, which sets the
+    hash buckets."""
     inner = [f"c{k}" for k in range(len(df.columns))]
     name = dict(zip(df.columns, inner, strict=True))
     own = df.toDF(*inner)
@@ -113,10 +114,12 @@ def plan_copies(df: DataFrame, rows: int, id_col: str = "doc_id", source_col: st
     place = F.col("at") + F.col("row")
     reach = lambda p: F.floor(p * F.col("rate") + F.col("u"))
     copies = F.least(reach(place) - reach(place - 1), F.lit(most)).cast("long")
-    mix = F.struct(F.col("size"), F.col("source_size"), F.col("target"), copies.alias("copies")).alias("mix")
+    mix = F.struct(F.col("size"), F.col("source_size"), F.col("target"), copies.alias("copies")).alias(W.free("mix", df.columns))
     return full.select(*[F.col(c).alias(n) for n, c in name.items()], mix)
 
 
 def emit(planned: DataFrame) -> DataFrame:
     """Each row as often as planned."""
-    return planned.where(F.col("mix.copies") > 0).withColumn("mix", F.explode(F.sequence(F.lit(1), F.col("mix.copies").cast("int")))).drop("mix")
+    mix = planned.columns[-1]
+    copies = F.col(f"`{mix}`.copies")
+    return planned.where(copies > 0).withColumn(mix, F.explode(F.sequence(F.lit(1), copies.cast("int")))).drop(mix)

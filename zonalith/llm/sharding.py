@@ -5,7 +5,8 @@ into a canonical order, shuffles it by Fisher-Yates under a generator seeded wit
 laid end to end are one uniform permutation; shards are its equal runs, so their row counts differ by at most one.
 
 Defined results: null ids and texts are hashed as such (a null text is the size of an empty one); repeated rows share a
-bucket; an empty table gives an empty result; other columns pass through whatever their names.
+bucket; an empty table gives an empty result; other columns pass through, those named
+`shard` or `slot` with `in_` before; very long texts are rows like others.
 
 Scale: the buckets' counts, one number each, come to the driver (bytes / bucket_bytes of them); rows are moved once. A
 task holds one bucket. A lost task's bucket is rebuilt to the same order, since that depends on the rows alone.
@@ -21,6 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from zonalith.llm import words as W
 from zonalith.session import new_path, reach_workers
 
 BUCKET_BYTES = 32 << 20
@@ -70,7 +72,11 @@ def external_shuffle(df: DataFrame, shards: int, id_col: str = "doc_id", text_co
 
     schema = StructType([own.schema[c] for c in inner]).add("shard", "integer").add("slot", "long")
     out = own.repartitionById(buckets, F.col("bucket")).mapInArrow(shuffle, schema)
-    return out.toDF(*df.columns, "shard", "slot") if not {"shard", "slot"} & set(df.columns) else out.toDF(*[f"in_{c}" if c in ("shard", "slot") else c for c in df.columns], "shard", "slot")
+    given: list[str] = []
+    for c in df.columns:
+        clash = c.lower() in ("shard", "slot")
+        given.append(W.free(f"in_{c}", [*df.columns, *given]) if clash else c)
+    return out.toDF(*given, "shard", "slot")
 
 
 def write_shards(shuffled: DataFrame) -> DataFrame:

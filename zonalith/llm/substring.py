@@ -355,7 +355,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, text, ranges): every row with its ranges (first window, windows) of windows that stand earlier too, or null."""
     spark = docs.sparkSession
     reach_workers(spark)
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).cast("long").alias("given"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("h"), F.col(text_col).alias("text"))
     total = own.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
     shards = 1 << max(4, math.ceil(math.log2(max(total / shard_bytes, 1))))
     with small_batches(spark, 2000):
@@ -363,7 +363,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = staged(search(route(own, bits, shards, n, k), shards, n), "ranges")
     ranges = found.distinct().groupBy("id", "h").agg(F.collect_list(F.struct("start", "windows")).alias("ranges"))
     out = own.join(ranges, ["id", "h"], "left")
-    return out.select(F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), "text", "ranges")
+    return out.select(F.col("given").alias("doc_id"), "text", "ranges")
 
 
 def cut(found: DataFrame, n: int = N) -> DataFrame:

@@ -12,8 +12,11 @@ all at once when there are `max_states`, so memory is bounded and no text decide
 
 Running. Texts are cut into chunks of `chunk` characters; all chunks of a batch step through the machine side by side.
 A chunk's map from entry state to (exit state, count) is constant behind its first restart, so the parts behind the
-restarts run first; the heads before them then run from the exit state of the chunk before. Counts are summed by prefix.
-Chunks without a restart are composed in order.
+restarts run first. The map of a chunk without a restart is made for the entry states that can occur: the start and, round by
+round, the exits of the map before it, equal chunks being run once. Texts meet again after a few characters whatever state
+they began in, so rounds are few. The maps of a run of such chunks are composed by a parallel prefix scan. The heads
+before the restarts then run from the exit of the chunk before, and counts are summed. Where a run's maps would hold more than
+MAX_ENTRIES entries a chunk, its chunks are run one after another instead, with the same result.
 
 Defined results: null and empty texts have no tokens; unknown characters count their UTF-8 bytes; special strings are
 ordinary text; repeated rows count alike; other columns pass through. No truncation; nothing is shuffled.
@@ -32,7 +35,7 @@ from zonalith.llm import words as W
 from zonalith.session import reach_workers
 
 MARK = "▁"
-CHUNK, MAX_STATES = 1024, 400_000
+CHUNK, MAX_STATES, MAX_ENTRIES = 1024, 400_000, 24
 SLICE_BYTES = 4 << 20
 MAX_PAIRS = 600_000
 ENTRY = struct.Struct("<iih")
@@ -206,19 +209,68 @@ class Transducer:
         exits, total = np.zeros(len(begin), np.int32), np.zeros(len(begin), np.int64)
         tail = np.flatnonzero(fixed)
         exits[tail], total[tail] = self.run(codes, restart[tail], end[tail], np.zeros(len(tail), np.int32))
-        known = fixed.copy()
-        head = np.flatnonzero(restart > begin)
-        while len(head):
-            ready = known[head - 1]
-            now = head[ready]
-            out, add = self.run(codes, begin[now], restart[now], exits[now - 1])
-            total[now] += add
-            through = ~fixed[now]
-            exits[now[through]] = out[through]
-            known[now] = True
-            head = head[~ready]
+        through = np.flatnonzero(~fixed)
+        if len(through):
+            linked = np.zeros(len(through), bool)
+            linked[1:] = through[1:] == through[:-1] + 1
+            exits[through], total[through] = self.chain(codes, begin[through], end[through], linked, exits[through - 1])
+        head = np.flatnonzero(fixed & (restart > begin))
+        total[head] += self.run(codes, begin[head], restart[head], exits[head - 1])[1]
         return np.bincount(doc, weights=total, minlength=len(size)).astype(np.int64)
 
+    def chain(self, codes: np.ndarray, begin: np.ndarray, end: np.ndarray, linked: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exit states and counts of chunks without a restart. linked: the chunk continues the one before; entry: the state before the
+        first chunk of each run."""
+        n, same = len(begin), {}
+        like = [same.setdefault(codes[a:b].tobytes(), k) for k, (a, b) in enumerate(zip(begin.tolist(), end.tolist(), strict=True))]
+        onward = np.append(linked[1:], False).tolist()
+        # The entries of each chunk's map with their numbers; a run's first chunk has its true one only.
+        entries: list[dict[int, int]] = [{0 if joined else e: 0} for joined, e in zip(linked.tolist(), entry.tolist(), strict=True)]
+        known: dict[tuple[int, int], tuple[int, int]] = {}
+        fresh, room = [(k, e) for k in range(n) for e in entries[k]], MAX_ENTRIES * n
+        while fresh and room > 0:
+            todo = sorted({(like[k], e) for k, e in fresh} - known.keys())
+            if todo:
+                at = np.array([k for k, _ in todo])
+                out, add = self.run(codes, begin[at], end[at], np.array([e for _, e in todo], np.int32))
+                known |= dict(zip(todo, zip(out.tolist(), add.tolist(), strict=True), strict=True))
+            more = []
+            for k, e in fresh:
+                x = known[like[k], e][0]
+                if onward[k] and x not in entries[k + 1]:
+                    entries[k + 1][x] = len(entries[k + 1])
+                    more.append((k + 1, x))
+            fresh, room = more, room - len(more)
+        exits, total = np.zeros(n, np.int32), np.zeros(n, np.int64)
+        if fresh:
+            state = entry.copy()
+            for k in range(n):
+                if linked[k]:
+                    state[k] = exits[k - 1]
+                out, add = self.run(codes, begin[k : k + 1], end[k : k + 1], state[k : k + 1])
+                exits[k], total[k] = out[0], add[0]
+            return exits, total
+        wide = max(map(len, entries))
+        to, add = np.zeros((n, wide), np.int64), np.zeros((n, wide), np.int64)
+        for k in range(n):
+            for e, i in entries[k].items():
+                x, c = known[like[k], e]
+                to[k, i], add[k, i] = (entries[k + 1][x] if onward[k] else x), c
+        # The scan: after each step a row holds the map of up to twice as many chunks, from the entries of the first of them.
+        nth = np.arange(n) - np.maximum.accumulate(np.where(linked, 0, np.arange(n)))
+        step = 1
+        while step <= int(nth.max()):
+            far = np.flatnonzero(nth >= step)
+            before = to[far - step]
+            new_to, new_add = np.take_along_axis(to[far], before, 1), add[far - step] + np.take_along_axis(add[far], before, 1)
+            to[far], add[far] = new_to, new_add
+            step *= 2
+        # A run's first chunk has one entry, so column 0 is the truth; counts are of all chunks of the run so far.
+        total = add[:, 0] - np.where(linked, np.append(0, add[:-1, 0]), 0)
+        last = ~np.array(onward)
+        exits[last] = to[last, 0]
+        return exits, total
+
 
 def codes_of(machine: Transducer, data: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Classes of a slice of texts, a mark before each text that is not empty, and the offsets."""
@@ -242,7 +294,7 @@ def machine_for(model_file: str, max_states: int) -> Transducer:
 
 
 def count_tokens(df: DataFrame, model_file: str, text_col: str = "text", out_col: str = "n_tokens", chunk: int = CHUNK, max_states: int = MAX_STATES) -> DataFrame:
-    """df with the number of tokens of each whole text last."""
+    """df with the number of tokens of each whole text last, as out_col or the next free name."""
     reach_workers(df.sparkSession)
     inner = [f"c{k}" for k in range(len(df.columns))]
     own = df.toDF(*inner)
@@ -257,4 +309,4 @@ def count_tokens(df: DataFrame, model_file: str, text_col: str = "text", out_col
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(counts))], names=[*inner, "n"])
 
     out = own.mapInArrow(run, StructType(list(own.schema.fields)).add("n", "long"))
-    return out.select(*[F.col(c).alias(n) for c, n in zip(inner, df.columns, strict=True)], F.col("n").alias(out_col))
+    return out.select(*[F.col(c).alias(n) for c, n in zip(inner, df.columns, strict=True)], F.col("n").alias(W.free(out_col, df.columns)))

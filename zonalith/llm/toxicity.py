@@ -130,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """docs with the probability of toxicity last."""
+    """docs with the probability of toxicity last, as out_col or the next free name."""
     spark = docs.sparkSession
     reach_workers(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -151,4 +151,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 
     schema = StructType(list(own.schema.fields)).add("p", "double")
     out = own.mapInArrow(run, schema)
-    return out.select(*[F.col(c).alias(n) for c, n in zip(inner, docs.columns, strict=True)], F.col("p").alias(out_col))
+    return out.select(*[F.col(c).alias(n) for c, n in zip(inner, docs.columns, strict=True)], F.col("p").alias(W.free(out_col, docs.columns)))

@@ -40,6 +40,14 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def free(name: str, taken: list[str]) -> str:
+    """The name, with underscores behind it while a column has it: names are the same to Spark whatever their case."""
+    have = {c.lower() for c in taken}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser: spreads every input bit over all 64."""
     h = h ^ (h >> U64(30))
