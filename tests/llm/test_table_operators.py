@@ -168,6 +168,37 @@ def test_neighbours_recall(spark):
     assert hit / 3000 >= 0.9
 
 
+def test_neighbours_recall_beyond_the_sample(spark):
+    """A table larger than the sample: what is found comes from the lists alone."""
+    n = 12_000
+    x = vectors(n, 32, 8)
+    got = defaultdict(list)
+    for r in search(spark, [(k, v.tolist(), 1) for k, v in enumerate(x)]).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    hit = 0
+    for q in range(0, n, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert len(got[q]) == 20
+        hit += len(set(got[q]) & set(np.argpartition(-s, 20)[:20].tolist()))
+    assert hit / n >= 0.93, hit / n
+
+
+def test_short_queries_are_asked_of_all_lists(spark, monkeypatch):
+    """With one list probed and hard tests many queries fall short: these are exact in the end."""
+    x = vectors(3000, 24, 5)
+    got = defaultdict(list)
+    for r in search(spark, [(k, v.tolist(), 1) for k, v in enumerate(x)], aim=0.0, epsilon=-3.0).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    exact = 0
+    for q in range(0, 3000, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        assert len(got[q]) == 20
+        exact += got[q] == np.lexsort((np.arange(3000), -s))[:20].tolist()
+    assert exact > 100
+
+
 def test_neighbours_of_repeated_rows(spark):
     """Near ids of twenty rows each, in a table larger than the sample, against brute force over distinct ids."""
     rng = np.random.default_rng(6)
