@@ -108,7 +108,7 @@ def fit(ids: np.ndarray, x: np.ndarray, total: int, queries: int, k: int, chunk_
         else:
             held += max(rows, 1.0)
     few = np.sort(rng.choice(n, min(n, total // SHARE), replace=False))
-    return Index(c, first, chunks, at + (held > 0), probes, ids[few], x[few], rotation, k, max(1, math.ceil(queries / block_queries)))
+    return Index(c, first, chunks, int(at + (held > 0)), probes, ids[few], x[few], rotation, k, max(1, math.ceil(queries / block_queries)))
 
 
 def probed(q: np.ndarray, index: Index) -> np.ndarray:
