@@ -60,14 +60,31 @@ def test_substring_dedup(spark):
 def test_fm_index_intervals():
     rng = np.random.default_rng(0)
     seq = np.append(rng.integers(1, 5, 400), 0)
-    fm = substring.FMIndex(seq, 5, 3)
+    fm = substring.FMIndex(seq, 5, 3, np.arange(len(seq)))
     for k in range(0, 300, 7):
-        p = seq[k : k + 6]
-        lo, hi = np.array([0]), np.array([fm.n])
-        for c in p[::-1]:
-            lo, hi = fm.back(np.array([c]), lo, hi)
-        want = sorted(i for i in range(len(seq) - 5) if (seq[i : i + 6] == p).all())
-        assert sorted(fm.sa[lo[0] : hi[0]].tolist()) == want
+        for size in (4, 6):
+            p = seq[k : k + size]
+            lo, hi = np.array([0]), np.array([fm.n])
+            for c in p[::-1]:
+                lo, hi = fm.back(np.array([c]), lo, hi)
+            want = [i for i in range(len(seq) - size + 1) if (seq[i : i + size] == p).all()]
+            assert hi[0] - lo[0] == len(want)
+            if size == 4:
+                wide = sum((seq[i : i + 3] == p[:3]).all() for i in range(len(seq) - 2))
+                a, b = fm.widen(lo)
+                assert a[0] <= lo[0] and hi[0] <= b[0] and b[0] - a[0] == wide
+                assert len(want) < 2 or fm.earliest(lo)[0] == want[0]
+
+
+def test_marks():
+    rng = np.random.default_rng(1)
+    for n, share in ((1, 1), (64, 0.1), (1000, 0.004), (1000, 0.5), (129, 0)):
+        bits = rng.random(n) < share
+        bits[0] = True
+        at = np.append(np.flatnonzero(bits), n)
+        lo, hi = substring.Marks(bits).around(np.arange(n))
+        k = np.searchsorted(at, np.arange(n), "right") - 1
+        assert (lo == at[k]).all() and (hi == at[k + 1]).all()
 
 
 def shingles(t):

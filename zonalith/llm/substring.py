@@ -7,20 +7,22 @@ Routing. A window's minimizer is the least hash of the k-grams in it; equal wind
 windows of one minimizer make a segment, and a segment belongs to the shard of its minimizer, so all places of a window
 meet in one shard and no document is held against every shard. Segments whose minimizer stands once in the corpus have
 no equal window anywhere and go no further (a bit filter tells; what it lets through in vain costs time
-only). Equal segments of a task are sent once, the earliest; the others are repeats already.
+only). Before they move, equal segments of a task are merged: the earliest is sent, the others are repeats already.
 
 Shard. The words of its distinct segments are one sequence; its FM-index holds the Burrows-Wheeler transform in a wavelet
 matrix of packed bits. Segments stream through it side by side, last word first: backward search gives the interval of
 the last window; the interval of each window before it follows by dropping the last word (to the enclosing interval of
 depth n - 1) and one more backward step. These are the matching statistics, cut at n. Intervals of two places and more are
-reported; the earliest place in an interval decides.
+reported; the earliest place in an interval decides. The suffix array goes when the index is built: enclosing intervals come
+from a bit for each suffix, the earliest place is kept once for each repeated window.
 
 Defined results: null text has no words; a null id comes after all others; rows of one id are one document's rows, none
 of which is earlier than another at equal starts, so repeated rows stay; empty tables give empty results; other columns
-are not carried.
+are not carried; very long texts are cut into segments like others.
 
 Scale: each pass reads texts where they are; they are shuffled once, to meet their removed ranges. Shards follow the
-bytes of the corpus, so each stays near `shard_bytes` of text; a group of copies weighs as one copy for each task.
+bytes of the corpus, so each stays near `shard_bytes` of text; a group of copies weighs as one copy for each task. At most
+MOST_TASKS tasks take the shards in order, one at a time.
 Words travel as 40 bits of their hash; a window is taken for equal when all n words are.
 """
 
@@ -37,7 +39,7 @@ from zonalith.llm import filters, words as W
 from zonalith.session import reach_workers, small_batches, staged
 
 N, K = 20, 6
-MOST_WINDOWS, SHARD_BYTES, FLUSH_SEGMENTS = 64, 2 << 20, 60_000
+MOST_WINDOWS, SHARD_BYTES, FLUSH_SEGMENTS, MOST_TASKS = 64, 2 << 20, 60_000, 1 << 13
 LAST_ID = (1 << 63) - 1
 U64 = np.uint64
 INVERSE = U64(pow(int(W.WORD_BASE), -1, 1 << 64))
@@ -209,39 +211,79 @@ class WaveletMatrix:
         return self._down(c, i) - self.base[c]
 
 
+class Marks:
+    """A row of packed bits, the first of them set, in which the nearest set bits about a place are found."""
+
+    def __init__(self, bits: np.ndarray):
+        self.n = len(bits)
+        padded = np.zeros((self.n // 64 + 1) * 64, bool)
+        padded[: self.n], padded[self.n] = bits, True
+        self.words = np.packbits(padded, bitorder="little").view(U64)
+        at = np.flatnonzero(self.words).astype(np.int32)
+        every = np.arange(len(self.words))
+        self.before = at[np.searchsorted(at, every, "right") - 1]
+        self.after = at[np.minimum(np.searchsorted(at, every), len(at) - 1)]
+
+    def around(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The last set bit at or before each place, and the next one behind it (or the end)."""
+        full = U64(0xFFFFFFFFFFFFFFFF)
+        w = i >> 6
+        m = self.words[w] & (full >> (63 - (i & 63)).astype(U64))
+        w = np.where(m == 0, self.before[np.maximum(w - 1, 0)], w)
+        m = np.where(m == 0, self.words[w], m)
+        top = (m >> U64(32)).astype(np.float64)
+        high = np.where(top > 0, np.frexp(top)[1] + 31, np.frexp((m & U64(0xFFFFFFFF)).astype(np.float64))[1] - 1)
+        lo = w * 64 + high
+        w = (i + 1) >> 6
+        m = self.words[w] & (full << ((i + 1) & 63).astype(U64))
+        w = np.where(m == 0, self.after[np.minimum(w + 1, len(self.words) - 1)], w)
+        m = np.where(m == 0, self.words[w], m)
+        return lo, w * 64 + np.frexp((m & (~m + U64(1))).astype(np.float64))[1] - 1
+
+
 class FMIndex:
     """Over a sequence of symbols below sigma. Suffixes are sorted by their first 32 symbols, which settles the interval of
-    every pattern up to that length."""
+    every pattern up to that length. Compressed: the suffix array is dropped once built; what stays is the wavelet matrix, a bit
+    for each suffix that differs from the one before within `depth` symbols, and the least key of each repeated pattern of depth + 1."""
 
-    def __init__(self, seq: np.ndarray, sigma: int, depth: int):
+    def __init__(self, seq: np.ndarray, sigma: int, depth: int, key: np.ndarray):
         n = len(seq)
         rank, top, h = seq.astype(np.int64), sigma, 1
         while h < 32:
             after = np.zeros(n, np.int64)
             after[: n - h] = rank[h:] + 1
-            key = rank * (top + 1) + after
-            order = np.argsort(key, kind="stable")
+            order = rank * (top + 1) + after
+            order, ties = np.argsort(order, kind="stable"), order
             new = np.ones(n, np.int64)
             new[0] = 0
-            new[1:] = key[order[1:]] != key[order[:-1]]
+            new[1:] = ties[order[1:]] != ties[order[:-1]]
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(new)
             top = int(rank[order[-1]]) + 1
             h *= 2
             if top == n:
                 break
-        self.sa = np.argsort(rank, kind="stable")
+        sa = np.argsort(rank, kind="stable")
         self.n = n
-        self.wavelet = WaveletMatrix(seq[self.sa - 1], sigma)
+        self.wavelet = WaveletMatrix(seq[sa - 1], sigma)
         counts = np.bincount(seq, minlength=sigma)
         self.first = np.cumsum(counts) - counts
-        # Enclosing intervals at `depth`: suffixes with equal first `depth` symbols stand together.
-        padded = np.concatenate([W.mix(seq.astype(U64) + U64(1)), np.zeros(depth, U64)])
-        g = W.grams(padded, depth)[:n][self.sa]
-        edge = np.concatenate([[True], g[1:] != g[:-1]])
-        group = np.cumsum(edge) - 1
-        at = np.flatnonzero(edge)
-        self.lo, self.hi = at[group], np.append(at[1:], n)[group]
+        # Suffixes with equal first symbols stand together.
+        padded = np.concatenate([W.mix(seq.astype(U64) + U64(1)), np.zeros(depth + 1, U64)])
+        edge = lambda d: np.concatenate([[True], (g := W.grams(padded, d)[:n][sa])[1:] != g[:-1]])
+        self.marks = Marks(edge(depth))
+        begin = np.flatnonzero(edge(depth + 1))
+        several = np.diff(np.append(begin, n)) > 1
+        self.starts = begin[several].astype(np.int32)
+        self.least = np.minimum.reduceat(key[sa], begin)[several]
+
+    def widen(self, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The intervals at `depth` symbols about those that begin at lo."""
+        return self.marks.around(lo)
+
+    def earliest(self, lo: np.ndarray) -> np.ndarray:
+        """The least key of the repeated patterns of depth + 1 symbols whose intervals begin at lo."""
+        return self.least[np.searchsorted(self.starts, lo)]
 
     def back(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The intervals with symbols c set before."""
@@ -261,11 +303,10 @@ def repeats(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words: np.nd
     seq = np.zeros(int(length.sum()) + len(length), np.int64)
     spot = np.repeat(at, length) + np.arange(int(length.sum())) - np.repeat(first, length)
     seq[spot] = dense + 1
-    fm = FMIndex(seq, sigma, n - 1)
     _, doc = np.unique(ids, return_inverse=True)
     key = np.full(len(seq), np.iinfo(np.int64).max, np.int64)
     key[spot] = (np.repeat(doc.astype(np.int64), length) << 32) + np.repeat(starts, length) + spot - np.repeat(at, length)
-    by_rank = key[fm.sa]
+    fm = FMIndex(seq, sigma, n - 1, key)
     order = np.argsort(-sizes, kind="stable")
     live = np.searchsorted(-sizes[order], -np.arange(int(sizes.max())), side="left")
     lo, hi = np.zeros(len(order), np.int64), np.full(len(order), fm.n, np.int64)
@@ -276,15 +317,10 @@ def repeats(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, words: np.nd
     for t, k in enumerate(live.tolist()):
         lo, hi = lo[:k], hi[:k]
         if t:
-            lo, hi = fm.back(seq[last[:k] - t], fm.lo[lo], fm.hi[lo])
+            lo, hi = fm.back(seq[last[:k] - t], *fm.widen(lo))
         many = np.flatnonzero(hi - lo >= 2)
         if len(many):
-            a, inverse = np.unique(lo[many], return_inverse=True)
-            b = np.empty_like(a)
-            b[inverse] = hi[many]
-            ends = np.minimum(np.stack([a, b], axis=1).ravel(), fm.n - 1)
-            low = np.minimum.reduceat(by_rank, ends)[::2]
-            low = np.where(b == fm.n, np.minimum(low, by_rank[-1]), low)[inverse]
+            low = fm.earliest(lo[many])
             own = key[last[many] - t]
             dup = many[low < own]
             found_s.append(order[dup])
@@ -298,16 +334,21 @@ def search(routed: DataFrame, shards: int, n: int) -> DataFrame:
     """The ranges of windows that stand earlier too: those found in each shard, and those known before."""
 
     def run(batches):
-        parts: dict[int, list] = {}
+        current, rows = None, []
         for batch in batches:
             known = pc.is_null(batch.column("words"))
             done = batch.filter(known)
             if done.num_rows:
                 yield pa.RecordBatch.from_arrays(done.columns[:4], names=FIELDS[:4])
             for row in batch.filter(pc.invert(known)).select(FIELDS[4:]).to_pylist():
-                parts.setdefault(row["shard"], []).append(row)
-        for shard in list(parts):
-            rows = parts.pop(shard)
+                if row["shard"] != current:
+                    yield from found(rows)
+                    current, rows = row["shard"], []
+                rows.append(row)
+        yield from found(rows)
+
+    def found(rows):
+        if rows:
             get = lambda c, t: np.concatenate([np.frombuffer(r[c], t) for r in rows])  # noqa: B023, E731
             ids, hs, starts, sizes = get("ids", "<i8"), get("hs", "<i8"), get("starts", "<i4").astype(np.int64), get("counts", "<i4").astype(np.int64)
             five = get("words", np.uint8).reshape(-1, 5)
@@ -348,7 +389,9 @@ def search(routed: DataFrame, shards: int, n: int) -> DataFrame:
             for i, h, st, m in out:
                 yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(h), pa.array(st.astype(np.int32)), pa.array(m.astype(np.int32))], names=["id", "h", "start", "windows"])
 
-    return routed.repartitionById(shards, F.col("shard")).mapInArrow(run, RANGES)
+    # Shards come one after another to a task, so it holds one of them however many there are.
+    tasks = min(shards, MOST_TASKS)
+    return routed.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard").mapInArrow(run, RANGES)
 
 
 def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N, k: int = K, shard_bytes: int = SHARD_BYTES) -> DataFrame:
