@@ -166,7 +166,11 @@ def test_walk_equals_sets():
         sets.append(s[np.argsort(s % np.uint64(97), kind="stable")])
     for p in sets[:20]:
         want = [5 * len(set(p.tolist()) & set(s.tolist())) >= 4 * len(set(p.tolist()) | set(s.tolist())) for s in sets]
-        assert jaccard.walk(p, sets) == want
+        trie = jaccard.Trie(sets)
+        every = list(range(len(sets)))
+        assert sorted(trie.walk(p, every)) == [k for k in every if want[k]]
+        some = [int(k) for k in np.flatnonzero(rng.random(len(sets)) < 0.4)]
+        assert sorted(trie.walk(p, some)) == [k for k in some if want[k]]
 
 
 BENCH = [(1, " ".join(cases.BASE.upper().split()[12:30])), (2, "one"), (3, None), (4, "..."), (5, cases.prose(9, 70)), (None, "theta1 iota2"), (6, " ".join(cases.BASE.split()[12:30]))]

@@ -5,11 +5,12 @@ with fewer words, the whole sequence as one; without words nothing, and it links
 hashes; documents of equal sets are one node from the start (a set is told by 64 bits of all its shingles).
 
 Method. All shingles stand in one global order: those of one document alone, then the others, rare before frequent, then
-by hash. What stands in several documents is told by a bit filter, frequency by a count sketch, both over all documents. Sets that reach the threshold share a shingle among the first n - ceil(0.8 n) + 1 of each, so only
-nodes under a common prefix shingle are compared, and of those only pairs that can still share enough from there on. They are compared by a prefix-tree join: the ordered sets, most
-frequent first so that copies share their paths, stand in a trie - as a sorted list with the depth each shares with the
-one before - which is walked once for each probing set. Overlaps counted on a shared path are kept, and a subtree is left
-as soon as what remains of its sets cannot reach the overlap needed. Every link is decided on whole sets.
+by hash. What stands in several documents is told by a bit filter, frequency by a count sketch, both over all documents. Sets
+that reach the threshold share a shingle among the first n - ceil(0.8 n) + 1 of each, so only nodes under a common prefix
+shingle are compared, and of those only pairs that can still share enough from there on. They are compared by a prefix-tree
+join: the ordered sets, most frequent first so that copies share their paths, are stored in tries - sorted lists with the depth
+each shares with the one before - built once and walked by many probing sets. Overlaps counted on a shared path are kept, and
+a subtree is left as soon as what remains of its sets cannot reach the overlap needed. Every link is decided on whole sets.
 
 Within a prefix group not all pairs are tried. The group's first nodes probe all others, linked nodes are joined into
 components, and only groups that still hold several components go on, with four times as many probes, until none is left: a
@@ -17,11 +18,12 @@ pair is skipped only when its two nodes are connected already, so components are
 
 Defined results: null text has no words; repeated rows and equal ids are documents of their own that share a node;
 documents without words, or with a null id, keep their own id as component unless linked; an empty table gives an empty
-result; other columns are not carried.
+result; very long texts are sets like others; other columns are not carried.
 
 Scale: texts are never shuffled; each pass reads them where they are and hashes anew. The sketch (2 ** SKETCH_BITS
 counters) and the bit filters are of bounded size; a full filter only lets more through.
-Copies are one node, emitted once by each task. Probing sets and their candidates meet in chunks of about `chunk` sets.
+Copies are one node, emitted once by each task. Tries hold about `chunk` sets. Members of a hot shingle are dealt over SALTS tasks.
+A round's links are contracted to links between components before these are joined.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ from zonalith.session import drop_staged, reach_workers, staged
 
 N, NUM, DEN = 5, 80, 100
 SKETCH_BITS, SLICE_BITS = 21, 15
-CHUNK = 256
+CHUNK, SALTS = 256, 8
 U64 = np.uint64
 #: Columns beside those of the documents.
 NODE, RANK = "jaccard node", "jaccard rank"
@@ -182,97 +184,134 @@ def candidates(docs: DataFrame, order, bits, n: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, n long, tokens array<long>, places array<long>, set binary")
 
 
-def walk(probe: np.ndarray, sets: list[np.ndarray]) -> list[bool]:
-    """Which of the sets reach the threshold with the probing set. The sets stand as a trie: sorted, each with the depth
-    it shares with the one before; counts along a shared path are taken over."""
-    order = sorted(range(len(sets)), key=lambda k: sets[k].tobytes())
-    mine, found = np.sort(probe), [False] * len(sets)
-    before, count, dead = np.zeros(0, U64), np.zeros(1, np.int64), None
-    for k in order:
-        y = sets[k]
-        m = min(len(before), len(y))
-        other = np.flatnonzero(before[:m] != y[:m])
-        depth = int(other[0]) if len(other) else m
-        need = -(-NUM * (len(mine) + len(y)) // (NUM + DEN))
-        # `dead`: the depth at which the last path was left, and the most a set through there could lack.
-        if dead is not None and depth >= dead[0] and count[dead[0]] + len(y) - dead[0] < need:
-            continue
-        depth = min(depth, len(count) - 1)
-        count, at, dead = count[: depth + 1], depth, None
-        while at < len(y):
-            if count[at] + len(y) - at < need:
-                dead = (at, need)
-                break
-            part = y[at : at + 64]
-            place = np.minimum(np.searchsorted(mine, part), len(mine) - 1)
-            count = np.concatenate([count, count[at] + np.cumsum(mine[place] == part)])
-            at += len(part)
-        before = y
-        found[k] = at >= len(y) and bool(count[len(y)] >= need)
-    return found
+class Trie:
+    """Sets of shingles in one order, as a prefix tree: sorted, each with the depth it shares with the one before."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.order = sorted(range(len(sets)), key=lambda k: sets[k].tobytes())
+        self.sets = [sets[k] for k in self.order]
+        self.place = {k: i for i, k in enumerate(self.order)}
+        self.shared = [0] * len(sets)
+        for i in range(1, len(sets)):
+            x, y = self.sets[i - 1], self.sets[i]
+            m = min(len(x), len(y))
+            other = np.flatnonzero(x[:m] != y[:m])
+            self.shared[i] = int(other[0]) if len(other) else m
+
+    def walk(self, probe: np.ndarray, wanted: list[int]) -> list[int]:
+        """Those of the wanted sets (numbers as given) that reach the threshold with the probing set. Overlaps counted on a shared
+        path are taken over; a path is left as soon as what remains of its sets cannot reach the overlap needed."""
+        mine, found = np.sort(probe), []
+        count, dead, last = np.zeros(1, np.int64), None, -1
+        for i in sorted(self.place[k] for k in wanted):
+            y = self.sets[i]
+            depth = min(self.shared[last + 1 : i + 1]) if last >= 0 else 0
+            last = i
+            need = -(-NUM * (len(mine) + len(y)) // (NUM + DEN))
+            # `dead`: the depth at which the last path was left.
+            if dead is not None and depth >= dead and count[dead] + len(y) - dead < need:
+                continue
+            depth = min(depth, len(count) - 1)
+            count, at, dead = count[: depth + 1], depth, None
+            while at < len(y):
+                if count[at] + len(y) - at < need:
+                    dead = at
+                    break
+                part = y[at : at + 64]
+                place = np.minimum(np.searchsorted(mine, part), len(mine) - 1)
+                count = np.concatenate([count, count[at] + np.cumsum(mine[place] == part)])
+                at += len(part)
+            if at >= len(y) and count[len(y)] >= need:
+                found.append(self.order[i])
+        return found
 
 
 def verify(pairs: DataFrame, sets: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The links (a, b) among pairs (a, b): a probes, b stands in the trie."""
-    spread = pairs.groupBy("a").agg(F.count("*").alias("k"))
-    pairs = pairs.join(spread, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / chunk)))
-    probes = pairs.select("a", "part").distinct().join(sets.select(F.col("node").alias("a"), "set"), "a").select("a", "part", F.lit(False).alias("inner"), F.col("a").alias("b"), "set")
-    inner = pairs.join(sets.select(F.col("node").alias("b"), "set"), "b").select("a", "part", F.lit(True).alias("inner"), "b", "set")
-    rows = probes.unionByName(inner).repartition("a", "part").sortWithinPartitions("a", "part", "inner")
+    """The links (a, b) among distinct pairs (a, b). The sets b that have the same first probe are stored in tries of about `chunk`
+    sets, each built once and walked by all the probes of its sets; a set is sent to one trie, a probe once to each."""
+    own = pairs.groupBy("b").agg(F.min("a").alias("home"), F.sort_array(F.collect_list("a")).alias("probes"))
+    homes = own.groupBy("home").agg(F.count("*").alias("k"))
+    own = own.join(homes, "home").withColumn("part", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / chunk))).drop("k")
+    asks = own.select("home", "part", F.explode("probes").alias("a")).distinct().join(sets.select(F.col("node").alias("a"), "set"), "a")
+    asks = asks.select("home", "part", F.lit(True).alias("asks"), F.col("a").alias("node"), F.lit(None).cast("array<long>").alias("probes"), "set")
+    stored = own.join(sets.select(F.col("node").alias("b"), "set"), "b").select("home", "part", F.lit(False).alias("asks"), F.col("b").alias("node"), "probes", "set")
+    rows = stored.unionByName(asks).repartition("home", "part").sortWithinPartitions("home", "part", "asks", "node")
 
     def run(batches):
-        probe, others, names = None, [], []
-
-        def close():
-            hit = [b for b, ok in zip(names, walk(probe[1], others), strict=True) if ok]
-            return pa.RecordBatch.from_arrays([pa.array([probe[0]] * len(hit), pa.int64()), pa.array(hit, pa.int64())], names=["a", "b"])
-
+        where, names, sets, wanted, trie = None, [], [], {}, None
         for batch in batches:
-            for a, inside, b, s in zip(*(batch.column(c).to_pylist() for c in ("a", "inner", "b", "set")), strict=True):
-                if not inside:
-                    if others:
-                        yield close()
-                    probe, others, names = (a, np.frombuffer(s, U64)), [], []
-                else:
-                    others.append(np.frombuffer(s, U64))
-                    names.append(b)
-        if others:
-            yield close()
+            found_a, found_b = [], []
+            for home, part, asks, node, probes, s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (home, part) != where:
+                    where, names, sets, wanted, trie = (home, part), [], [], {}, None
+                s = np.frombuffer(s, U64)
+                if not asks:
+                    for a in probes:
+                        wanted.setdefault(a, []).append(len(names))
+                    names.append(node)
+                    sets.append(s)
+                    continue
+                trie = trie or Trie(sets)
+                hit = trie.walk(s, wanted[node])
+                found_a += [node] * len(hit)
+                found_b += [names[k] for k in hit]
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
+def salted(by_token: DataFrame) -> DataFrame:
+    """A table of a few rows a token, once for each salt: a hot token's members are dealt over SALTS tasks."""
+    return by_token.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+
+
 def live(groups: DataFrame) -> DataFrame:
     """Groups that still hold several components, with those members that can link. A member whose shingle stands at `place` can
     share n - place shingles at most, so its partner has at most `most` shingles; of two that link, the smaller is `strong`
     (most >= n), and the other has room for it."""
     least = groups.groupBy("token").agg(F.min(F.when(F.col("most") >= F.col("n"), F.col("n"))).alias("least"))
-    own = groups.join(least, "token").where("most >= n or most >= least").drop("least")
+    own = groups.join(salted(least), ["token", "salt"]).where("most >= n or most >= least").drop("least")
     open_ = own.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.bool_or(F.col("most") >= F.col("n")).alias("ok")).where("x < y and ok").select("token")
-    return own.join(open_, "token", "left_semi")
+    return own.join(salted(open_), ["token", "salt"], "left_semi")
+
+
+def grown(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, comp) with the new links: these are contracted to links between components first, so only what they join is worked on."""
+    if comp is None:
+        return components(links)
+    of = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    ends = staged(ends.select("a", "b", F.coalesce("a_comp", "a").alias("x"), F.coalesce("b_comp", "b").alias("y")), "ends")
+    roots = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    new = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(comp, "node", "left_anti").withColumn("comp", F.col("node"))
+    every = comp.unionByName(new).join(roots.select(F.col("node").alias("comp"), F.col("comp").alias("root")), "comp", "left")
+    return every.select("node", F.coalesce("root", "comp").alias("comp"))
 
 
 def link_nodes(sets: DataFrame, groups: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(node, comp) of the linked nodes. groups: (token, node, n, place) of prefix shingles that several nodes share."""
     most = F.floor((NUM + DEN) * (F.col("n") - F.col("place")) / NUM) - F.col("n")
-    links, comp, probes = None, None, 4
-    groups = staged(live(groups.withColumn("most", most).withColumn("comp", F.col("node"))), "groups")
+    comp, probes = None, 4
+    groups = groups.withColumn("most", most).withColumn("comp", F.col("node")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    groups = staged(live(groups), "groups")
     while True:
         # Each group's probes: of each of `probes` hash classes the strong member with fewest shingles, nearest the front.
         lead = groups.where("most >= n").withColumn("class", F.pmod(F.xxhash64("node"), F.lit(probes)))
         lead = lead.groupBy("token", "class").agg(F.min(F.struct("n", "place", "node", "comp", "most")).alias("p"))
         lead = lead.select("token", F.col("p.node").alias("a"), F.col("p.n").alias("an"), F.col("p.comp").alias("ac"), F.col("p.most").alias("am"))
-        pairs = groups.join(lead, "token").where("comp <> ac and n <= am and an <= most").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        pairs = groups.join(salted(lead), ["token", "salt"]).where("comp <> ac and n <= am and an <= most").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         pairs = staged(pairs.distinct(), "pairs")
-        new = staged(verify(pairs, sets, chunk), "links")
+        links = staged(verify(pairs, sets, chunk), "links")
         drop_staged(pairs)
-        links = new if links is None else links.unionByName(new)
-        comp = staged(components(links), "components")
+        old_comp, comp = comp, staged(grown(comp, links), "components")
         # What the probes have been held against is done; the others go on while they are not all connected.
-        rest = groups.drop("comp").join(lead.select("token", F.col("a").alias("node")), ["token", "node"], "left_anti")
+        done = salted(lead.select("token", F.col("a").alias("node")).distinct())
+        rest = groups.drop("comp").join(done, ["token", "salt", "node"], "left_anti")
         rest = live(rest.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         old, groups = groups, staged(rest, "groups")
-        drop_staged(old)
+        for used in (old, links, old_comp):
+            if used is not None:
+                drop_staged(used)
         if groups.isEmpty():
             return comp
         probes *= 4
