@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from zonalith.llm import filters, words as W
 from zonalith.llm.graph import components
-from zonalith.session import drop_staged, reach_workers, staged
+from zonalith.session import drop_staged, reach_workers, small_batches, staged
 
 N, NUM, DEN = 5, 80, 100
 SKETCH_BITS, SLICE_BITS = 21, 15
@@ -322,7 +322,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     smallest node, which tells components of rows that share an id apart."""
     spark = docs.sparkSession
     reach_workers(spark)
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    with small_batches(spark, 2000):
+        return _join(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), n, chunk)
+
+
+def _join(own: DataFrame, n: int, chunk: int) -> DataFrame:
+    spark = own.sparkSession
     seen = staged(survey(own, n), "survey")
     rows = seen.where("slice is null").select("id", "node", "n")
     total = own.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
