@@ -26,4 +26,4 @@ def query(sql: str | None = None):
     return add
 
 
-from zonalith.plans import cell_queries, geo_queries, more_queries, series_queries, state_queries  # noqa: E402, F401
+from zonalith.plans import cell_queries, driver_queries, geo_queries, more_queries, series_queries, state_queries  # noqa: E402, F401

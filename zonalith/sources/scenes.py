@@ -13,6 +13,13 @@ def search_optical(scenes: DataFrame, date: str, cloud: str, end: Column, days:
     return scenes.where(near & (F.coalesce(F.col(cloud), F.lit(0.0)) <= C.SCENE_CLOUD_REJECT_ABOVE))
 
 
+def meets(scene: str, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """SRC5, SRC6: whether a scene's box (a struct x0, y0, x1, y1) meets the given one; a scene without a box may be anywhere."""
+    b = F.col(scene)
+    apart = (b["x0"] > x1) | (b["x1"] < x0) | (b["y0"] > y1) | (b["y1"] < y0)
+    return ~F.coalesce(apart, F.lit(False))
+
+
 def search_radar(scenes: DataFrame, area: str, collection: str, mode: str, assets: str, preference: tuple[str, ...]) -> DataFrame:
     """SRC6: wide-swath scenes with both polarisations; of each area the first collection in preference that has any."""
     has = lambda name: F.exists(F.map_keys(assets), lambda k: F.lower(k) == name)
