@@ -149,7 +149,7 @@ def error_class(message: Column) -> Column:
     return F.when(m.rlike("429|too many requests|throttl|rate limit"), "rate_limited").when(m.rlike("500|502|503|504|timeout|timed out"), "server_or_timeout").otherwise("other")
 
 
-#: Parts of messages after which a write is worth trying again.
+#: Parts of messages after which a write is worth trying again.
 TRANSIENT = (
     "server disconnected",
     "connection reset",
