@@ -212,6 +212,34 @@ def test_variogram():
     assert variogram.kernel(*(np.zeros(3),) * 3, np.ones(3))[-1] == "insufficient_variogram_support_kish"
 
 
+@pytest.mark.parametrize("n", [5, 60, 200])
+def test_variogram_by_blocks(n):
+    rng = np.random.default_rng(n)
+    r, c, v, w = rng.integers(0, 20, n).astype(float), rng.integers(0, 20, n).astype(float), rng.random(n), rng.random(n)
+    i, j = np.triu_indices(n, 1)
+    d, g = np.hypot(r[i] - r[j], c[i] - c[j]), 0.5 * (v[i] - v[j]) ** 2
+    whole, parts = variogram.kernel(r, c, v, w), variogram.kernel(r, c, v, w, most=53)
+    assert whole == parts and whole[3] == pytest.approx(np.percentile(g, 90), rel=1e-12)
+    assert whole[4] == pytest.approx(np.percentile(g[d <= np.percentile(d, 25)], 10), rel=1e-12)
+
+
+def test_nnls_meets_its_conditions():
+    rng = np.random.default_rng(3)
+    a, b = rng.random((12, 5)), rng.normal(0.2, 0.6, (200, 12))
+    x = G.nnls(a, b)
+    slope = (b - x @ a.T) @ a
+    assert (x >= 0).all() and (slope <= 1e-8).all() and np.abs(slope * x).max() < 1e-8
+    assert (x == 0).any() and (x > 0).any()
+    with pytest.raises(ValueError):
+        G.nnls(np.ones((3, 11)), np.ones((1, 3)))
+
+
+def test_robust_location_with_ties_and_empty_weights(spark):
+    rows = [("a", 0.2, 1.0), ("a", 0.2, 3.0), ("a", 0.8, 4.0), ("b", 0.5, 2.0), ("b", None, 5.0), ("c", 0.1, 0.0)]
+    got = {r.k: (r.n_cells, r.effective_cells, r.median, r.mad, r.p10, r.p90) for r in stats.context_summary(frame(spark, rows, "k string, v double, w double"), ["k"], "v", "w").collect()}
+    assert got == {"a": (3, 8.0, 0.2, 0.0, 0.2, 0.8), "b": (1, 2.0, 0.5, 0.0, 0.5, 0.5)}
+
+
 def test_raster(spark):
     a = np.arange(16, dtype="<f4").reshape(4, 4)
     a[0, 0] = np.nan
@@ -238,6 +266,12 @@ def test_validation(spark, tmp_path):
     b = V.bootstrap(pairs(spark), "land_id", "native_ndvi", "estimated_ndvi", "reference_ndvi", resamples=200)
     assert b["status"] == "evaluated" and b["supported"] and b["ci95_lower"] <= b["mae_improvement_native_minus_estimated"] <= b["ci95_upper"]
     assert V.bootstrap(pairs(spark, 3), "land_id", "native_ndvi", "estimated_ndvi", "reference_ndvi")["supported"] is False
+    many = frame(spark, [(f"L{k}", k / 400, k / 1000, 0.0) for k in range(400)], "land_id string, native_ndvi double, estimated_ndvi double, reference_ndvi double")
+    one, more = (V.bootstrap(many, "land_id", "native_ndvi", "estimated_ndvi", "reference_ndvi", resamples=1500, block=n) for n in (1000, 37))
+    pick = np.random.default_rng(0).integers(0, 400, (4000, 400)).mean(axis=1) * (1 / 400 - 1 / 1000)
+    for got in (one, more):
+        assert (got["ci95_lower"], got["ci95_upper"]) == pytest.approx(np.percentile(pick, [2.5, 97.5]), rel=0.02)
+    assert more == V.bootstrap(many, "land_id", "native_ndvi", "estimated_ndvi", "reference_ndvi", resamples=1500, block=37)
     train, test = V.grouped_split(pairs(spark), "land_id")
     assert V.leakage(train, test, "land_id").count() == 0 and test.select("land_id").distinct().count() == 2
     with pytest.raises(ValueError):

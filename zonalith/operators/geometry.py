@@ -6,6 +6,7 @@ cells of its bounding box; nothing here depends on the number of parcels.
 
 from __future__ import annotations
 
+import itertools
 import json
 import math
 
@@ -180,26 +181,25 @@ def context_buffer(rings: list[np.ndarray], target_m2: float, most_m: float = 20
     return hi
 
 
+MAX_ENDMEMBERS = 10
+
+
 def nnls(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Non-negative least squares by active sets."""
+    """Non-negative least squares of many right sides at once: a is bands x endmembers, b rows x bands; gives rows x endmembers. The
+    optimum is the plain solution on the endmembers it uses, so of every subset's solutions the best non-negative one is taken."""
     n = a.shape[1]
-    x, on = np.zeros(n), np.zeros(n, bool)
-    for _ in range(10 * n):
-        w = a.T @ (b - a @ x)
-        if on.all() or w[~on].max(initial=-np.inf) <= 1e-10:
-            break
-        on[np.where(~on, w, -np.inf).argmax()] = True
-        while True:
-            s = np.zeros(n)
-            s[on] = np.linalg.lstsq(a[:, on], b, rcond=None)[0]
-            if s[on].min() > 0:
-                x = s
-                break
-            bad = on & (s <= 0)
-            alpha = (x[bad] / (x[bad] - s[bad])).min()
-            x = x + alpha * (s - x)
-            on &= x > 1e-12
-            x[~on] = 0
+    if n > MAX_ENDMEMBERS:
+        raise ValueError(f"at most {MAX_ENDMEMBERS} endmembers")
+    best, x = (b * b).sum(axis=1), np.zeros((len(b), n))
+    for k in range(1, n + 1):
+        for used in itertools.combinations(range(n), k):
+            s = b @ np.linalg.pinv(a[:, used]).T
+            rss = ((b - s @ a[:, used].T) ** 2).sum(axis=1)
+            better = (s >= 0).all(axis=1) & (rss < best)
+            best[better] = rss[better]
+            row = np.zeros((int(better.sum()), n))
+            row[:, used] = s[better]
+            x[better] = row
     return x
 
 
@@ -210,16 +210,17 @@ def unmix(df: DataFrame, spectrum: str, endmembers: dict[str, list[float]]) -> D
 
     @pandas_udf("fractions array<double>, rmse double")
     def run(s: pd.Series) -> pd.DataFrame:
-        out = []
-        for v in s:
-            v = None if v is None else np.asarray(v, float)
-            if v is None or v.shape != (len(e),) or not np.isfinite(v).all():
-                out.append((None, None))
-                continue
-            x = nnls(e, v)
-            rmse = float(np.sqrt(np.mean((e @ x - v) ** 2)))
-            out.append(((x / x.sum()).tolist() if x.sum() > 0 else None, rmse))
-        return pd.DataFrame(out, columns=["fractions", "rmse"])
+        rows = [None if v is None or len(v) != len(e) else np.asarray(v, float) for v in s]
+        ok = np.array([v is not None and bool(np.isfinite(v).all()) for v in rows], bool)
+        out = pd.DataFrame({"fractions": [None] * len(rows), "rmse": [None] * len(rows)}, dtype=object)
+        if ok.any():
+            b = np.stack([v for v, good in zip(rows, ok, strict=True) if good])
+            x = nnls(e, b)
+            rmse, total = np.sqrt(((x @ e.T - b) ** 2).mean(axis=1)), x.sum(axis=1)
+            for i, at in enumerate(np.nonzero(ok)[0]):
+                out.iat[at, 0] = (x[i] / total[i]).tolist() if total[i] > 0 else None
+                out.iat[at, 1] = float(rmse[i])
+        return out
 
     u = df.withColumn("u", run(F.col(spectrum)))
     return u.select(*df.columns, *[F.element_at("u.fractions", k + 1).alias(n) for k, n in enumerate(names)], F.col("u.rmse").alias("rmse"))

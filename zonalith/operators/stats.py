@@ -19,17 +19,21 @@ def unweighted_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
     v = F.col(value)
     out = df.where(v.isNotNull()).groupBy(*keys).agg(
         F.avg(v).alias("mean"),
-        F.median(v).alias("median"),
+        percentiles(v).alias("p"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
         F.stddev_pop(v).alias("std"),
-        F.percentile(v, 0.1).alias("p10"),
-        F.percentile(v, 0.9).alias("p90"),
         F.count(v).alias("n"),
     )
+    out = out.select(*keys, "mean", F.col("p")[1].alias("median"), "min", "max", "std", F.col("p")[0].alias("p10"), F.col("p")[2].alias("p90"), "n")
     return out.withColumn("cv", F.col("std") / (F.abs("mean") + C.EPS))
 
 
+def percentiles(value: Column) -> Column:
+    """p10, median and p90 as one aggregate, so that a group's values are held once."""
+    return F.percentile(value, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))
+
+
 def _midpoints(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per cell: q, the share of weight below its midpoint, with the next cell's value and share."""
     order = Window.partitionBy(*keys).orderBy("v", "w")
@@ -189,27 +193,33 @@ def radar_stats(df: DataFrame, keys: Sequence[str], vv: str, vh: str, weight: st
     )
 
 
-def step_quantile(df: DataFrame, keys: Sequence[str], value: str, weight: str, points: dict[str, float]) -> DataFrame:
-    """The lower step quantile: the first value whose share of weight reaches p."""
-    order = Window.partitionBy(*keys).orderBy(value, weight).rowsBetween(Window.unboundedPreceding, 0)
-    share = F.sum(weight).over(order) / F.sum(weight).over(Window.partitionBy(*keys))
-    own = df.where(F.col(value).isNotNull() & (F.col(weight) > 0)).withColumn("share", share)
-    return own.groupBy(*keys).agg(*[F.min(F.when(F.col("share") >= p, F.col(value))).alias(n) for n, p in points.items()])
+def _spread(df: DataFrame, keys: Sequence[str], value: str, weight: str, points: dict[str, float]) -> DataFrame:
+    """Per cell: v, w, the lower step quantiles of its group by name (the first value whose share of weight reaches p), d, the
+    distance from `median`, and d_share. The windows have one partitioning, so the cells move once."""
+    own = df.select(*keys, F.col(value).alias("v"), F.col(weight).alias("w")).where("v is not null and w > 0")
+    whole = Window.partitionBy(*keys)
+    up_to = lambda x: whole.orderBy(x, "w").rowsBetween(Window.unboundedPreceding, 0)
+    cells = own.withColumn("total", F.sum("w").over(whole)).withColumn("share", F.sum("w").over(up_to("v")) / F.col("total"))
+    cells = cells.withColumns({n: F.min(F.when(F.col("share") >= p, F.col("v"))).over(whole) for n, p in points.items()})
+    cells = cells.withColumn("d", F.abs(F.col("v") - F.col("median")))
+    return cells.withColumn("d_share", F.sum("w").over(up_to("d")) / F.col("total"))
 
 
 def robust_location(df: DataFrame, keys: Sequence[str], value: str, weight: str) -> DataFrame:
     """AG7: weighted median and median absolute deviation."""
-    own = df.select(*keys, F.col(value).alias("v"), F.col(weight).alias("w")).where("v is not null and w > 0")
-    med = step_quantile(own, keys, "v", "w", {"median": 0.5})
-    dev = own.join(med, list(keys)).withColumn("d", F.abs(F.col("v") - F.col("median")))
-    return med.join(step_quantile(dev, keys, "d", "w", {"mad": 0.5}), list(keys))
+    cells = _spread(df, keys, value, weight, {"median": 0.5})
+    return cells.groupBy(*keys).agg(F.max("median").alias("median"), F.min(F.when(F.col("d_share") >= 0.5, F.col("d"))).alias("mad"))
 
 
 def context_summary(df: DataFrame, keys: Sequence[str], value: str, weight: str, parcel: DataFrame | None = None, parcel_value: str = "parcel_ndvi") -> DataFrame:
     """AG8: cells, weight, median, MAD, step p10 and p90, and the parcel's robust z against them (0 or signed infinity at MAD 0)."""
-    own = df.select(*keys, F.col(value).alias("v"), F.col(weight).alias("w")).where("v is not null and w > 0")
-    out = own.groupBy(*keys).agg(F.count("*").alias("n_cells"), F.sum("w").alias("effective_cells"))
-    out = out.join(robust_location(own, keys, "v", "w"), list(keys)).join(step_quantile(own, keys, "v", "w", {"p10": 0.1, "p90": 0.9}), list(keys))
+    points = {"p10": 0.1, "median": 0.5, "p90": 0.9}
+    out = _spread(df, keys, value, weight, points).groupBy(*keys).agg(
+        F.count("*").alias("n_cells"),
+        F.sum("w").alias("effective_cells"),
+        F.min(F.when(F.col("d_share") >= 0.5, F.col("d"))).alias("mad"),
+        *[F.max(n).alias(n) for n in points],
+    )
     if parcel is None:
         return out
     out = out.join(parcel.select(*keys, F.col(parcel_value).alias("parcel")), list(keys), "left")
@@ -222,16 +232,15 @@ def layer_stats(df: DataFrame, keys: Sequence[str], layers: dict[str, Column], v
     """AG9 and CD6: unweighted statistics of several layers, unpivoted to a row for each, with the valid share of visible cells."""
     items = F.array(*[F.struct(F.lit(n).alias("layer_code"), c.alias("value")) for n, c in layers.items()])
     own = df.where(visible).select(*keys, F.explode(items).alias("x")).select(*keys, "x.*")
-    return own.groupBy(*keys, "layer_code").agg(
+    out = own.groupBy(*keys, "layer_code").agg(
         F.avg("value").alias("mean"),
-        F.median("value").alias("median"),
-        F.percentile("value", 0.1).alias("p10"),
-        F.percentile("value", 0.9).alias("p90"),
+        percentiles(F.col("value")).alias("p"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
         (F.count("value") / F.count("*")).alias("valid_fraction"),
         F.count("value").alias("n_valid"),
     )
+    return out.select(*keys, "layer_code", "mean", F.col("p")[1].alias("median"), F.col("p")[0].alias("p10"), F.col("p")[2].alias("p90"), "min", "max", "valid_fraction", "n_valid")
 
 
 def dilate(df: DataFrame, keys: Sequence[str], row: str, col: str, code: str, rounds: int = 1) -> DataFrame:

@@ -140,16 +140,36 @@ def variogram_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("field", F.round("range_cells", 4).alias("range_cells"), F.round("sill", 6).alias("sill"), F.round("nugget", 6).alias("nugget"), F.round("n_eff", 4).alias("n_eff"))
 
 
-@query()
+@query(
+    """WITH e AS (SELECT k, 0.1 + 0.01 * k AS c, 0.5 - 0.005 * k AS s FROM range(64) r(k)), m AS (SELECT sum(CAST(c * c AS DOUBLE)) AS cc, sum(CAST(s * s AS DOUBLE)) AS ss, sum(CAST(c * s AS DOUBLE)) AS cs FROM e),
+v AS (SELECT vec_id, unnest(range(64)) AS k, abs(CAST(unnest(embedding) AS DOUBLE)) AS b FROM embeddings),
+p AS (SELECT vec_id, sum(b * c) AS bc, sum(b * s) AS bs, sum(b * b) AS bb FROM v JOIN e ON v.k = e.k GROUP BY vec_id),
+x AS (SELECT vec_id, bb, bc, bs, cc, ss, cs, (bc * ss - bs * cs) / (cc * ss - cs * cs) AS x1, (bs * cc - bc * cs) / (cc * ss - cs * cs) AS x2 FROM p, m),
+y AS (SELECT *, CASE WHEN x1 >= 0 AND x2 >= 0 THEN x1 WHEN bc > 0 AND bc * bc / cc >= CASE WHEN bs > 0 THEN bs * bs / ss ELSE 0 END THEN bc / cc ELSE 0 END AS y1,
+  CASE WHEN x1 >= 0 AND x2 >= 0 THEN x2 WHEN bc > 0 AND bc * bc / cc >= CASE WHEN bs > 0 THEN bs * bs / ss ELSE 0 END THEN 0 WHEN bs > 0 THEN bs / ss ELSE 0 END AS y2 FROM x)
+SELECT vec_id, round(y1 / nullif(y1 + y2, 0), 6) AS crop, round(y2 / nullif(y1 + y2, 0), 6) AS soil, round(sqrt(greatest(bb - 2 * (y1 * bc + y2 * bs) + y1 * y1 * cc + 2 * y1 * y2 * cs + y2 * y2 * ss, 0) / 64), 6) AS rmse FROM y"""
+)
 def unmixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GE13."""
     e = B.table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.abs(x).cast("double")).alias("s"))
-    return G.unmix(e, "s", {"crop": [0.1 + 0.01 * k for k in range(64)], "soil": [0.5 - 0.005 * k for k in range(64)]})
+    out = G.unmix(e, "s", {"crop": [0.1 + 0.01 * k for k in range(64)], "soil": [0.5 - 0.005 * k for k in range(64)]})
+    return out.select("vec_id", *[F.round(c, 6).alias(c) for c in ("crop", "soil", "rmse")])
+
 
+POINT = lambda x, y: f"format('{{:.7f}} {{:.7f}}', {x}, {y})"
 
-@query(f"WITH {B.PARCELS_SQL} SELECT land, CASE WHEN land % 3 = 0 THEN 'high' WHEN land % 3 = 1 THEN 'medium' ELSE 'low' END AS confidence FROM parcels")
+
+@query(
+    f"""WITH {B.PARCELS_SQL}, q AS (SELECT *, px + side AS qx, py + side AS qy FROM parcels)
+SELECT land, CASE WHEN land % 3 = 0 THEN 'high' WHEN land % 3 = 1 THEN 'medium' WHEN land % 2 = 0 THEN 'low' END AS confidence, CASE WHEN land % 3 < 2 THEN 5 WHEN land % 2 = 0 THEN 65 END AS points,
+CASE WHEN land % 3 < 2 THEN substr(sha1(concat_ws(',', {POINT('px', 'py')}, {POINT('qx', 'py')}, {POINT('qx', 'qy')}, {POINT('px', 'qy')}, {POINT('px', 'py')})), 1, 16) END AS fingerprint FROM q"""
+)
 def geometry_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GE1, PRJ20: the first usable boundary and its confidence."""
+    """GE1, PRJ20: the first usable boundary, its confidence and the fingerprint of stored ones; a land without either has none."""
     p, k = B.parcels(spark, sf_dir), F.col("land") % 3
-    g = G.resolve_geometry([F.when(k == 0, F.col("geojson")).otherwise('{"type":"Point"}')], F.when(k == 1, F.col("geojson")), F.col("lat"), F.col("lon"))
-    return p.select("land", g["confidence"].alias("confidence"))
+    lat = F.when(F.col("land") % 2 == 0, F.col("lat"))
+    g = G.resolve_geometry([F.when(k == 0, F.col("geojson")).otherwise('{"type":"Point"}')], F.when(k == 1, F.col("geojson")), lat, F.col("lon"))
+    raw = F.from_json(g["geojson"], "coordinates array<array<array<double>>>")["coordinates"]
+    rings = F.transform(raw, lambda ring: F.transform(ring, lambda x: F.struct(x[0].alias("x"), x[1].alias("y"))))
+    word = g["confidence"]
+    return p.select("land", word.alias("confidence"), F.size(raw[0]).alias("points"), F.when(word != "low", geo.fingerprint(rings)).alias("fingerprint"))

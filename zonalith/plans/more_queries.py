@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from zonalith import constants as C
 from zonalith.functions import geo, spectral as S
 from zonalith.operators import geometry as G, raster, stats
 from zonalith.plans import bindings as B, pipeline
@@ -98,6 +99,40 @@ def regrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.agg(F.count("*").alias("n"), F.round(F.sum(F.col("value").cast("double")), 4).alias("total"), F.max("row").cast("int").alias("r1"))
 
 
+@query(
+    f"""WITH t AS ({CELL}), o AS (SELECT * FROM (VALUES (-1, 0.25e0), (0, 0.75e0), (1, 0.75e0), (2, 0.25e0)) o(d, s)),
+f AS (SELECT row * 2 + a.d AS r, col * 2 + b.d AS c, sum(v * a.s * b.s) / sum(a.s * b.s) AS v FROM t, o a, o b GROUP BY 1, 2 HAVING r BETWEEN 0 AND 159 AND c BETWEEN 0 AND 159)
+SELECT r // 16 AS band_row, count(*) AS n, round(sum(v), 4) AS total, round(min(v), 6) AS lowest, round(sum(v * c), 2) AS moment FROM f GROUP BY 1"""
+)
+def regrid_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GE6: 20 m to 10 m, bilinear, over the neighbours that are there."""
+    cells = raster.cells_of(tiles(spark, sf_dir)).withColumn("value", F.col("value").cast("double"))
+    f = raster.regrid_bilinear(cells, ["scene_id", "band"])
+    v = F.col("value")
+    return f.groupBy(F.floor(F.col("row") / 16).alias("band_row")).agg(F.count("*").alias("n"), F.round(F.sum(v), 4).alias("total"), F.round(F.min(v), 6).alias("lowest"), F.round(F.sum(v * F.col("col")), 2).alias("moment"))
+
+
+def _ramp_sql(channel: int) -> str:
+    """The colour at x, piecewise linear between the stops."""
+    stops = [(x, int(h[1 + 2 * channel : 3 + 2 * channel], 16)) for x, h in C.COLOR_STOPS]
+    parts = [f"WHEN x <= {b}e0 THEN {ra} + (x - {a}e0) / ({b}e0 - {a}e0) * {rb - ra}" for (a, ra), (b, rb) in zip(stops, stops[1:])]
+    return f"CAST(round_even(CASE {' '.join(parts)} ELSE {stops[-1][1]} END, 0) AS INT)"
+
+
+LOW, HIGH = C.COLOR_STOPS[0][0], C.COLOR_STOPS[-1][0]
+
+
+@query(
+    f"""WITH s AS (SELECT o_orderkey AS id, greatest({LOW}e0, least({HIGH}e0, CAST(o_orderkey % 1500 AS DOUBLE) / 1000e0 - 0.35e0)) AS v FROM orders),
+x AS (SELECT id, {LOW}e0 + round_even((v - {LOW}e0) / ({HIGH - LOW!r}e0) * 511, 0) * ({HIGH - LOW!r}e0 / 511) AS x FROM s)
+SELECT id, {_ramp_sql(0)} AS r, {_ramp_sql(1)} AS g, {_ramp_sql(2)} AS b FROM x"""
+)
+def ramp_colors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ33: the whole ramp."""
+    c = geo.ramp_color((F.col("o_orderkey") % 1500).cast("double") / 1000.0 - 0.35)
+    return B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), *[c[n].alias(n) for n in "rgb"])
+
+
 @query(
     f"""WITH {B.PARCELS_SQL} SELECT land, round(CAST(CASE WHEN side * side < 5000 OR (side - 20) * (side - 20) < 400 THEN side * side ELSE (side - 20) * (side - 20) END AS DOUBLE), 3) AS area, side * side >= 5000 AND (side - 20) * (side - 20) >= 400 AS eroded,
   round(CASE WHEN side * side >= 20000 THEN CAST(0 AS DOUBLE) ELSE (-4 * side + sqrt(16 * side * side - 4 * pi() * (side * side - 20000))) / (2 * pi()) END, 2) AS buffer FROM parcels"""

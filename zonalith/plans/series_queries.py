@@ -211,7 +211,10 @@ def leakage_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.leakage(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'P'"), "land")
 
 
-@query()
+@query(
+    f"""WITH {PAIRS}, l AS (SELECT land, row_number() OVER (ORDER BY md5('42:' || CAST(land AS VARCHAR)), land) AS k, count(*) OVER () AS n FROM (SELECT DISTINCT land FROM p) t)
+SELECT land, CASE WHEN k <= greatest(1, round(n * 0.2)) THEN 'test' ELSE 'train' END AS side FROM l"""
+)
 def grouped_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST6."""
     train, test = V.grouped_split(pairs(spark, sf_dir), "land")
