@@ -34,6 +34,25 @@ def test_upsert_stream_is_exactly_once(spark, tmp_path):
     assert {(r.land, r.scene, r.v) for r in O.current(spark, out).collect()} == want
 
 
+def test_sinks_touch_their_buckets_only(spark, tmp_path):
+    out = f"{tmp_path}/table"
+    sink = O.upsert_sink(out, ["land", "scene"], ["t", "v"], buckets=4)
+    rows = lambda lands, n: spark.createDataFrame([(f"L{k}", "A", day(n), n / 10) for k in lands], SCHEMA)
+    state = lambda **kw: {(r.land, r.v) for r in O.current(spark, out, **kw).collect()}
+    sink(rows([], 1), 0)
+    assert O.current(spark, out) is None
+    sink(rows(range(40), 1), 1)
+    assert sorted(O.versions(spark, out)) == [0, 1, 2, 3]
+    for n in (2, 3, 4):
+        sink(rows([7], n), n)
+    found = O.versions(spark, out)
+    assert sorted(found.values()) == [[1], [1], [1], [4, 3]]
+    want = {(f"L{k}", 0.4 if k == 7 else 0.1) for k in range(40)}
+    assert state() == want and state(below=4) == {(a, 0.3 if a == "L7" else v) for a, v in want}
+    sink(rows([7], 4), 4)
+    assert state() == want and O.versions(spark, out) == found
+
+
 def test_snapshot_stream_moves_forward(spark, tmp_path):
     stream = files(spark, tmp_path, [[("L1", "B", day(5), 0.5)], [("L1", "A", day(1), 0.9), ("L2", "A", day(1), 0.2)]])
     sink = O.snapshot_sink(f"{tmp_path}/snap", "land", "t")

@@ -33,44 +33,80 @@ def daily(stream: DataFrame, time: str, land: str, value: str) -> DataFrame:
     return lookback(stream, time).groupBy(F.window(time, "1 day"), land).agg(F.count("*").alias("n"), F.avg(value).alias("mean")).select(F.col("window.start").alias("day"), land, "n", "mean")
 
 
-def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """SM2, SNK1: foreachBatch function that merges a batch into a Parquet table. Versions stand side by side under the path and a
-    batch writes the one of its own number, so a batch that runs again replaces its own version only."""
+BUCKETS = 32
+BUCKET = "zonalith_bucket"
 
-    def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = current(spark, path, below=number)
-        merged = batch if before is None else I.merge_upsert(before, batch, keys, order)
-        if before is None:
-            merged = I.merge_upsert(batch.limit(0), batch, keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/version={number:010d}")
 
-    return write
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a function from text to its paths."""
+    jvm = spark.sparkContext._jvm
+    to = lambda *x: jvm.org.apache.hadoop.fs.Path(*x)
+    return to(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to
+
+
+def versions(spark: SparkSession, path: str) -> dict[int, list[int]]:
+    """The complete versions of each bucket, newest first."""
+    fs, to = _files(spark, path)
+    out: dict[int, list[int]] = {}
+    if not fs.exists(to(path)):
+        return out
+    for v in fs.listStatus(to(path)):
+        if v.getPath().getName().startswith("version=") and fs.exists(to(v.getPath(), "_SUCCESS")):
+            for b in fs.listStatus(v.getPath()):
+                if b.getPath().getName().startswith(f"{BUCKET}="):
+                    out.setdefault(int(b.getPath().getName().split("=")[1]), []).append(int(v.getPath().getName().split("=")[1]))
+    return {b: sorted(found, reverse=True) for b, found in out.items()}
+
 
+def current(spark: SparkSession, path: str, below: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    """The table as of the last complete version of each bucket (before `below`; of the given buckets)."""
+    own = {b: [n for n in found if below is None or n < below] for b, found in versions(spark, path).items() if buckets is None or b in buckets}
+    at = [f"{path}/version={found[0]:010d}/{BUCKET}={b}" for b, found in sorted(own.items()) if found]
+    return spark.read.parquet(*at) if at else None
 
-def current(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
-    """The table as of the last complete version (before `below`)."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    done = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    done = sorted(p.getName() for p in done if below is None or int(p.getName().split("=")[1]) < below)
-    return spark.read.parquet(f"{path}/{done[-1]}") if done else None
 
+def _forget(spark: SparkSession, path: str, number: int) -> None:
+    """Drop what neither a reader nor batch `number`, should it run again, needs: of each bucket, the newest version and the newest
+    before `number` stay."""
+    fs, to = _files(spark, path)
+    for b, found in versions(spark, path).items():
+        keep = {found[0], *[n for n in found if n < number][:1]}
+        for n in set(found) - keep:
+            fs.delete(to(f"{path}/version={n:010d}/{BUCKET}={b}"), True)
 
-def snapshot_sink(path: str, key: str, date: str) -> Callable[[DataFrame, int], None]:
-    """SM4: foreachBatch function that moves each land's snapshot forward only."""
+
+def _advance(path: str, keys: Sequence[str], buckets: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function that merges a batch into the buckets its keys fall in. Batch n writes version n of those only, from the
+    versions before n, so a batch that runs again writes the same. A reader has its files until the second batch after."""
+    deal = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
     def write(batch: DataFrame, number: int) -> None:
-        before = current(batch.sparkSession, path, below=number)
-        new = I.snapshot_forward(batch.limit(0) if before is None else before, batch, key, date)
-        new.write.mode("overwrite").parquet(f"{path}/version={number:010d}")
+        batch = batch.persist()
+        try:
+            touched = [r[0] for r in batch.select(deal.alias("b")).distinct().collect()]
+            if not touched:
+                return
+            before = current(batch.sparkSession, path, number, touched)
+            merged = merge(batch.limit(0) if before is None else before, batch)
+            merged.withColumn(BUCKET, deal).repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{path}/version={number:010d}")
+            _forget(batch.sparkSession, path, number)
+        finally:
+            batch.unpersist()
 
     return write
 
 
+def upsert_sink(path: str, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """SM2, SNK1: foreachBatch function that merges a batch into a Parquet table of buckets by key. The number of buckets belongs to
+    the table and must not change."""
+    return _advance(path, keys, buckets, lambda before, batch: I.merge_upsert(before, batch, keys, order))
+
+
+def snapshot_sink(path: str, key: str, date: str, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """SM4: foreachBatch function that moves each land's snapshot forward only; its table is as that of upsert_sink."""
+    return _advance(path, [key], buckets, lambda before, batch: I.snapshot_forward(before, batch, key, date))
+
+
 def flag_outliers(batch: DataFrame, history: DataFrame, land: str, date: str, value: str) -> DataFrame:
     """SM6: stream-static: rows of a batch against the stored history and each other."""
     cols = [land, date, value]
