@@ -61,12 +61,13 @@ def kernel(r: np.ndarray, c: np.ndarray, v: np.ndarray, w: np.ndarray, most: int
     if len(v) < 4 or v.std() <= 1e-9:
         return kish, 0.0 if len(v) >= 2 else None, None, None, None, "insufficient_variogram_support_kish"
     count = len(v) * (len(v) - 1) // 2
-    held = list(pairs(r, c, v, most)) if count <= most else None
+    held = [tuple(np.concatenate(x) for x in zip(*pairs(r, c, v, most), strict=True))] if count <= most else None
     every = lambda: held or pairs(r, c, v, most)
-    sill = quantiles(lambda: (g for _, g in every()), count, 0.9)
-    near = quantiles(lambda: (d for d, _ in every()), count, 0.25)
+    of = (lambda make, _, p: float(np.quantile(next(iter(make())), p))) if held else quantiles
+    sill = of(lambda: (g for _, g in every()), count, 0.9)
+    near = of(lambda: (d for d, _ in every()), count, 0.25)
     close = sum(int((d <= near).sum()) for d, _ in every())
-    nugget = quantiles(lambda: (g[d <= near] for d, g in every()), close, 0.1)
+    nugget = of(lambda: (g[d <= near] for d, g in every()), close, 0.1)
     level = nugget + 0.95 * max(sill - nugget, 0.0)
     first = min((float(d[g >= level].min(initial=math.inf)) for d, g in every()), default=math.inf)
     if math.isinf(first):
