@@ -1,5 +1,7 @@
 """Substring dedup, n-gram join, decontamination, toxicity and counts against brute force."""
 
+import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -323,6 +325,41 @@ def test_toxicity_held_out(spark):
     assert len(none.slots) == 0 and toxicity.score(docs, none, out_col="p").select("p").distinct().count() == 1
 
 
+def plain_ftrl(rows, labels):
+    """FTRL-proximal as published, a coordinate at a time in dictionaries; the bias is a coordinate without penalties."""
+    n_pos = sum(labels)
+    up = min((len(labels) - n_pos) / n_pos, toxicity.MOST_UP)
+    z, n, zb, nb = defaultdict(float), defaultdict(float), 0.0, 0.0
+
+    def weight(k):
+        if abs(z[k]) <= toxicity.L1:
+            return 0.0
+        return -(z[k] - (1 if z[k] > 0 else -1) * toxicity.L1) / ((toxicity.BETA + n[k] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    def bias():
+        return -zb / ((toxicity.BETA + nb**0.5) / toxicity.ALPHA)
+
+    for _ in range(toxicity.EPOCHS):
+        for slots, y in zip(rows, labels, strict=True):
+            w, b = {k: weight(k) for k in slots}, bias()
+            g = (1 / (1 + math.exp(-(sum(w.values()) + b))) - y) * (up if y else 1.0)
+            for k in slots:
+                z[k] += g - ((n[k] + g * g) ** 0.5 - n[k] ** 0.5) / toxicity.ALPHA * w[k]
+                n[k] += g * g
+            zb += g - ((nb + g * g) ** 0.5 - nb**0.5) / toxicity.ALPHA * b
+            nb += g * g
+    return bias(), {k: weight(k) for k in z if weight(k)}
+
+
+def test_ftrl_equals_the_plain_form():
+    """Weights and bias against a coordinate-by-coordinate form: a tell-tale slot for each label, common and rare ones."""
+    rng = random.Random(7)
+    labels = [int(k % 4 == 0) for k in range(400)]
+    rows = [sorted({3 if y else 5, *(rng.randrange(8, 60) for _ in range(12)), rng.randrange(60, 4000)}) for y in labels]
+    got = toxicity.ftrl([np.array(r) for r in rows], np.array(labels), bits=12)
+    want_bias, want = plain_ftrl(rows, labels)
+    assert got.slots.tolist() == sorted(want) and {3, 5} <= set(want) and len(want) < 60
+    assert np.allclose(got.weights, [want[k] for k in got.slots.tolist()], atol=1e-9) and abs(got.bias - want_bias) < 1e-9
 
 
 def test_toxicity_learns_from_all_of_a_long_text(spark):
