@@ -1,5 +1,9 @@
 """Registered queries against their SQL, and the pipeline's stages."""
 
+import zlib
+from collections import defaultdict
+
+import numpy as np
 import oracle
 import pytest
 
@@ -23,6 +27,43 @@ def test_other_queries_return_rows(spark, sf_dir, name):
     assert df.count() == (n if "adaptive" not in name else 500)
 
 
+@pytest.fixture(scope="module")
+def texts(spark, sf_dir):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+
+
+def test_token_counts_are_the_library_s(spark, sf_dir, texts):
+    import sentencepiece
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=queries.tokenizer_path(queries.PIECE_MODEL))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in queries.QUERIES["op3_token_counts"](spark, sf_dir).collect()}
+    count = {i: len(lib.encode(t)) for i, t in texts.items()}
+    assert got == {i: (len(t.encode()), count[i], count[i] > 4096) for i, t in texts.items()}
+
+
+def test_shards_hold_every_document(spark, sf_dir, texts):
+    got, shards = queries.QUERIES["op5_external_shuffle"](spark, sf_dir).collect(), defaultdict(list)
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in got} == {i: (len(t.encode()) + 8, zlib.crc32(t.encode())) for i, t in texts.items()}
+    for r in got:
+        assert 0 <= r.shard < 24 and r.law == "rows" and r.grown_shard is None
+        shards[r.shard].append(r.slot)
+    counts = [len(shards[k]) for k in range(24)]
+    assert all(sorted(s) == list(range(len(s))) for s in shards.values()) and max(counts) - min(counts) <= 1
+
+
+def test_token_files_hold_the_library_s_ids(spark, sf_dir, texts):
+    import tokenizers
+
+    lib, start, want = tokenizers.Tokenizer.from_file(queries.tokenizer_path(queries.WORD_MODEL)), 0, {}
+    lib.no_truncation()
+    lib.no_padding()
+    for i in sorted(texts):
+        ids = [*lib.encode(texts[i], add_special_tokens=False).ids, 1]
+        want[i] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.QUERIES["op6_token_file"](spark, sf_dir).collect()} == want
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
