@@ -64,6 +64,30 @@ def test_token_files_hold_the_library_s_ids(spark, sf_dir, texts):
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.QUERIES["op6_token_file"](spark, sf_dir).collect()} == want
 
 
+def test_neighbours_of_the_table(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    got, hit, want = defaultdict(list), 0, 0
+    for r in queries.QUERIES["op2_adaptive_scan"](spark, sf_dir).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == {int(i) for i in ids if i % 20 == 0}
+    for q, found in got.items():
+        score = x @ x[ids == q][0]
+        at = {int(i): v for i, v in zip(ids, score, strict=True)}
+        assert all(abs(v - at[i]) < 1e-9 for i, v in found) and found == sorted(found, key=lambda p: (-p[1], p[0]))
+        others = ids != q
+        top = ids[others][np.lexsort((ids[others], -score[others]))[:20]]
+        assert len(found) == len(top) and q not in dict(found)
+        hit, want = hit + len(set(top.tolist()) & set(dict(found))), want + len(top)
+    assert hit >= 0.9 * want, hit / want
+
+
+def test_toxicity_rows(spark, sf_dir, texts):
+    got = queries.QUERIES["op8_toxicity"](spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
