@@ -14,6 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from zonalith import constants as C
 
 
+def exact(weight: Column) -> Column:
+    """A weight below a million to 12 places, as a decimal: sums of it are the same in any order of the rows."""
+    return weight.cast("decimal(18,12)")
+
+
 def unweighted_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """AG1: mean, median, min, max, std, p10, p90, cv, n."""
     v = F.col(value)

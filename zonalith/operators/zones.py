@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from zonalith import constants as C
+from zonalith.operators import stats
 
 
 def quarters(cells: DataFrame, key: str, row: str, col: str, weight: str, coverage: str, values: dict[str, str]) -> DataFrame:
     """AG16-AG17: one row for each field and quarter: interior cells, weight and weighted means (NULL with fewer than two
-    interior cells). Rows below the weighted centre row are north, columns from the centre on are east."""
+    interior cells). Rows below the weighted centre row are north, columns from the centre on are east. Sides are told by exact
+    sums, weights to 12 places: cells right at the centre do not change sides with the order of the rows."""
     by = Window.partitionBy(key)
     w = F.col(weight)
     first = next(iter(values.values()))
-    own = cells.withColumn("r0", F.sum(F.col(row) * w).over(by) / F.sum(w).over(by)).withColumn("c0", F.sum(F.col(col) * w).over(by) / F.sum(w).over(by))
-    quarter = F.concat(F.when(F.col(row) < F.col("r0"), "N").otherwise("S"), F.when(F.col(col) >= F.col("c0"), "E").otherwise("W"))
+    r, c, k = F.col(row).cast("decimal(9,0)"), F.col(col).cast("decimal(9,0)"), stats.exact(w)
+    own = cells.withColumn("sr", F.sum(r * k).over(by)).withColumn("sc", F.sum(c * k).over(by)).withColumn("sw", F.sum(k).over(by))
+    none = F.col("sw") == 0  # no centre: all cells are in one quarter
+    quarter = F.concat(F.when(none | (r * F.col("sw") < F.col("sr")), "N").otherwise("S"), F.when(~none & (c * F.col("sw") >= F.col("sc")), "E").otherwise("W"))
     interior = (F.col(coverage) >= C.INTERIOR_COVERAGE) & (w > 0) & F.col(first).isNotNull()
     mean = lambda c: F.try_divide(F.sum(F.when(F.col(c).isNotNull() & (w > 0), F.col(c) * w)), F.sum(F.when(F.col(c).isNotNull() & (w > 0), w)))
-    out = own.where("r0 is not null").groupBy(key, quarter.alias("quarter")).agg(F.count_if(interior).alias("interior_cells"), F.round(F.sum(w), 3).alias("epc"), *[mean(c).alias(n) for n, c in values.items()])
+    out = own.where("sw is not null").groupBy(key, quarter.alias("quarter")).agg(F.count_if(interior).alias("interior_cells"), F.round(F.sum(w), 3).alias("epc"), *[mean(c).alias(n) for n, c in values.items()])
     enough = F.col("interior_cells") >= C.ZONE_MIN_QUARTER
     return out.select(key, "quarter", "interior_cells", "epc", *[F.when(enough, F.col(n)).alias(n) for n in values])
 
