@@ -31,3 +31,15 @@ def centred(spark, tmp_path_factory):
 def test_zone_levels_at_the_centre(spark, centred):
     got = catalog.QUERIES["zone_levels"](spark, centred).collect()
     assert len(got) == 300 and {r.weakest[1] for r in got} == {"E"}
+
+
+def test_histogram_stats_at_the_shares(spark, tmp_path):
+    """Bins of exactly a tenth, four tenths, four tenths and a tenth of the weight: the shares are reached at the first, second and third."""
+    rng, rows = random.Random(3), []
+    for field in range(300):
+        ks = [rng.randrange(1, 10) for _ in range(30)]
+        own = [(k, v) for k in ks for v, n in ((0.15, 1), (0.35, 4), (0.55, 4), (0.75, 1)) for _ in range(n)]
+        rng.shuffle(own)
+        rows += [(field, i, 1, k / 100, 100000.0 * 0.2 * (1 + v) / (1 - v), 20.0) for i, (k, v) in enumerate(own)]
+    got = catalog.QUERIES["histogram_stats"](spark, written(spark, tmp_path, rows)).collect()
+    assert len(got) == 300 and {(r.p10, r.p50, r.p90) for r in got} == {(0.15, 0.35, 0.55)}

@@ -8,6 +8,7 @@ take no part.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -98,9 +99,9 @@ def bin_index(value: Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def weighted_histogram(df: DataFrame, keys: Sequence[str], value: str, weight: str, lo: float = -1.0, hi: float = 1.0, bins: int = C.HISTOGRAM_BINS) -> DataFrame:
-    """AG3 as rows: keys, bin, total weight; every bin of every group."""
+    """AG3 as rows: keys, bin, total weight; every bin of every group. Weights are summed exactly, to 12 places."""
     own = df.select(*keys, bin_index(F.col(value), lo, hi, bins).alias("bin"), F.col(weight).alias("w")).where("w > 0 and bin is not null")
-    sums = own.groupBy(*keys, "bin").agg(F.sum("w").alias("count"))
+    sums = own.groupBy(*keys, "bin").agg(F.sum(exact(F.col("w"))).cast("double").alias("count"))
     every = sums.select(*keys).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return every.join(sums, [*keys, "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0.0)))
 
@@ -113,26 +114,31 @@ def histogram_struct(hist: DataFrame, keys: Sequence[str], lo: float = -1.0, hi:
 
 
 def histogram_stats(hist: Column) -> Column:
-    """AG4 on a struct of edges and counts: mean, std, p10, p50, p90, uniformity_cv, pixels; NULL when malformed or empty."""
-    bins, counts = hist["bins"], hist["counts"]
+    """AG4 on a struct of edges and counts: mean, std, p10, p50, p90, uniformity_cv, pixels; NULL when malformed or empty. Which bin
+    reaches a share is told by decimal sums, so that a bin that ends right on the share is the one."""
+    bins, counts, kind = hist["bins"], hist["counts"], "decimal(30,12)"
     mids = F.transform(F.sequence(F.lit(1), F.size(counts)), lambda i: (F.element_at(bins, i) + F.element_at(bins, i + 1)) / 2)
     total = F.aggregate(counts, F.lit(0.0), lambda s, x: s + x)
     pairs = F.zip_with(mids, counts, lambda m, c: F.struct(m.alias("m"), c.cast("double").alias("c")))
     mean = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x["m"] * x["c"]) / total
     var = F.aggregate(pairs, F.lit(0.0), lambda s, x: s + x["c"] * (x["m"] - mean) * (x["m"] - mean)) / total
 
-    def quantile(p: float) -> Column:
-        start = F.struct(F.lit(0.0).alias("run"), F.lit(None).cast("double").alias("hit"))
-        step = lambda s, x: F.struct((s["run"] + x["c"]).alias("run"), F.when(s["hit"].isNull() & (s["run"] + x["c"] >= total * p), x["m"]).otherwise(s["hit"]).alias("hit"))
+    plus = lambda s, c: (s + c.cast(kind)).cast(kind)
+    whole = F.aggregate(counts, F.lit(0).cast(kind), plus)
+
+    def quantile(p: str) -> Column:
+        start = F.struct(F.lit(0).cast(kind).alias("run"), F.lit(None).cast("double").alias("hit"), (whole * F.lit(Decimal(p))).alias("need"))
+        run = lambda s, x: plus(s["run"], x["c"])
+        step = lambda s, x: F.struct(run(s, x).alias("run"), F.when(s["hit"].isNull() & (run(s, x) >= s["need"]), x["m"]).otherwise(s["hit"]).alias("hit"), s["need"].alias("need"))
         return F.coalesce(F.aggregate(pairs, start, step)["hit"], F.element_at(mids, -1))
 
     good = bins.isNotNull() & counts.isNotNull() & (F.size(counts) > 0) & (F.size(bins) == F.size(counts) + 1)
     made = F.struct(
         F.round(mean, 4).alias("mean"),
         F.round(F.sqrt(var), 4).alias("std"),
-        F.round(quantile(0.1), 4).alias("p10"),
-        F.round(quantile(0.5), 4).alias("p50"),
-        F.round(quantile(0.9), 4).alias("p90"),
+        F.round(quantile("0.1"), 4).alias("p10"),
+        F.round(quantile("0.5"), 4).alias("p50"),
+        F.round(quantile("0.9"), 4).alias("p90"),
         F.round(F.sqrt(var) / (F.abs(mean) + C.EPS), 4).alias("uniformity_cv"),
         total.alias("pixels"),
     )
