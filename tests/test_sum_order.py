@@ -33,6 +33,21 @@ def test_zone_levels_at_the_centre(spark, centred):
     assert len(got) == 300 and {r.weakest[1] for r in got} == {"E"}
 
 
+def test_zone_quarters_at_the_centre(spark, centred):
+    """The centre column is east, and its cells of the centre row south-east."""
+    got = {}
+    for r in catalog.QUERIES["zone_quarters"](spark, centred).collect():
+        got.setdefault(r.field, {})[r.quarter] = r.epc
+    assert len(got) == 300
+    assert all(q["NE"] > q["NW"] and q["SE"] > q["SW"] and q["SW"] == pytest.approx(q["NW"]) for q in got.values())
+
+
+def test_zone_quarters_without_weight(spark, tmp_path):
+    rows = [(1, r, c, 0.0, 60000.0, 20.0) for r in (1, 2) for c in (1, 2)]
+    got = catalog.QUERIES["zone_quarters"](spark, written(spark, tmp_path, rows)).collect()
+    assert [(r.field, r.quarter, r.interior_cells, r.epc, r.ndvi) for r in got] == [(1, "NW", 0, 0.0, None)]
+
+
 def test_histogram_stats_at_the_shares(spark, tmp_path):
     """Bins of exactly a tenth, four tenths, four tenths and a tenth of the weight: the shares are reached at the first, second and third."""
     rng, rows = random.Random(3), []
