@@ -86,3 +86,15 @@ def test_measured_and_radar_queries(spark, sf_dir):
     assert all((r.outcome == "rejected") == (r.reject_reason is not None) == (r.observed_ndvi is None) for r in out)
     radar = catalog.QUERIES["radar_observations"](spark, sf_dir).collect()
     assert sorted(r.land_id for r in radar) == sorted({k for k, _ in keys})
+
+
+def test_box_join_of_large_groups(spark, monkeypatch):
+    """Rows without a box against a group of several blocks, repeated rows and a group without any: all pairs, and no group is one task."""
+    monkeypatch.setattr(G, "BLOCK", 7)
+    left = spark.range(60).selectExpr("id % 50 land", "id % 3 g", "0D x0", "0D y0", "1D x1", "1D y1")
+    right = spark.range(200).selectExpr("id % 190 scene", "id % 4 g", "CAST(NULL AS DOUBLE) x0", "0D y0", "CAST(NULL AS DOUBLE) x1", "1D y1")
+    out = G.box_join(left, right, ["g"], 20.0).select("land", "scene", F.spark_partition_id().alias("task"))
+    got = out.collect()
+    want = sorted((a % 50, b % 190) for a in range(60) for b in range(200) if a % 3 == b % 4)
+    assert sorted((r.land, r.scene) for r in got) == want
+    assert len({r.task for r in got}) > 20

@@ -323,9 +323,14 @@ def group_bounds(df: DataFrame, key: str, x0: str, y0: str, x1: str, y1: str) ->
     return df.groupBy(key).agg(F.min(x0).alias("x0"), F.min(y0).alias("y0"), F.max(x1).alias("x1"), F.max(y1).alias("y1"), F.count("*").alias("n"))
 
 
+BLOCK, SLICES, TASKS = 1024, 16, 128
+
+
 def box_join(left: DataFrame, right: DataFrame, group: list[str], tile: float, keep_unknown: bool = True) -> DataFrame:
     """JN4-JN5: pairs of a group whose boxes (x0, y0, x1, y1) meet; rows of the right without a box meet all of their group. Boxes
-    are dealt to the tiles they cover; a pair counts in the tile of its lower left corner."""
+    are dealt to the tiles they cover; a pair counts in the tile of its lower left corner. Rows without a box, whose pairs are all of
+    their group, meet it in blocks of some BLOCK rows of the left and in SLICES of the right, so that no group is one task. Pairs come
+    out by row of the right: they are then written as long runs of the one and short repeats of the other."""
     names = ("x0", "y0", "x1", "y1")
     span = lambda a, b: F.sequence(F.floor(F.col(a) / tile), F.floor(F.col(b) / tile))
 
@@ -333,12 +338,19 @@ def box_join(left: DataFrame, right: DataFrame, group: list[str], tile: float, k
         d = df.select(*[F.col(c).alias(f"{side}_{c}") if c in names else F.col(c) for c in df.columns]).where(f"{side}_x0 is not null")
         return d.withColumn("tx", F.explode(span(f"{side}_x0", f"{side}_x1"))).withColumn("ty", F.explode(span(f"{side}_y0", f"{side}_y1")))
 
-    j = dealt(left, "l").join(dealt(right, "r"), [*group, "tx", "ty"])
+    j = dealt(right, "r").join(dealt(left, "l"), [*group, "tx", "ty"])
     meet = (F.col("l_x0") <= F.col("r_x1")) & (F.col("r_x0") <= F.col("l_x1")) & (F.col("l_y0") <= F.col("r_y1")) & (F.col("r_y0") <= F.col("l_y1"))
     once = (F.col("tx") == F.floor(F.greatest("l_x0", "r_x0") / tile)) & (F.col("ty") == F.floor(F.greatest("l_y0", "r_y0") / tile))
     own = [*group, *[c for d in (left, right) for c in d.columns if c not in names and c not in group]]
     out = j.where(meet & once).select(*own)
     if not keep_unknown:
         return out
-    unknown = right.where("x0 is null").drop(*names)
-    return out.unionByName(left.drop(*names).join(unknown, group).select(*own))
+    sizes = left.groupBy(*group).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    parts = left.withColumn("hash", F.xxhash64(*left.columns)).join(sizes, group).withColumn("block", F.pmod("hash", "blocks"))
+    unknown = right.where("x0 is null").drop(*names).join(sizes, group).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    unknown = unknown.withColumn("slice", F.pmod(F.xxhash64(*unknown.columns[:-2]), F.lit(SLICES)))
+    parts = parts.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    keys = [*group, "block", "slice"]
+    apart = lambda df: df.repartition(TASKS, *keys)  # noqa: E731 - by number: Spark would merge these by their few bytes
+    every = apart(unknown.drop("blocks")).join(apart(parts.drop(*names, "hash", "blocks")).hint("merge"), keys)
+    return out.unionByName(every.select(*own))
