@@ -2,6 +2,8 @@
 
 import random
 
+import duckdb
+import oracle
 import pytest
 
 from zonalith.plans import catalog
@@ -48,6 +50,35 @@ def test_zone_quarters_without_weight(spark, tmp_path):
     assert [(r.field, r.quarter, r.interior_cells, r.epc, r.ndvi) for r in got] == [(1, "NW", 0, 0.0, None)]
 
 
+def against_sql(spark, folder, rows, name="zone_quarters"):
+    path, db = written(spark, folder, rows), duckdb.connect()
+    db.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{path}/lineitem.parquet/*.parquet')")
+    return oracle.difference(spark, db, name, catalog.QUERIES[name], catalog.ORACLE[name], path)
+
+
+@pytest.mark.parametrize(
+    "discount, stretch",
+    [
+        (lambda r, c: -0.01 * (1 + r * c % 9), 1),
+        (lambda r, c: 0.05 if r == 1 else -0.03, 1),
+        (lambda r, c: (2 - c) * 0.1, 1),
+        (lambda r, c: -1e6 if r == 1 else 0.03 + c / 100, 1),
+        (lambda r, c: float("-inf") if r == 1 else 0.03, 1),
+        (lambda r, c: 0.03 + c / 100, 700000000),
+    ],
+    ids=["negative", "negative in sum", "none in sum", "beyond the decimals", "infinite", "far columns"],
+)
+def test_zone_quarters_odd_weights(spark, tmp_path, discount, stretch):
+    rows = [(1, r, c * stretch, discount(r, c), 60000.0 + r, 20.0) for r in (1, 2, 3, 4) for c in (1, 2, 3)]
+    assert against_sql(spark, tmp_path, rows) is None
+
+
+def test_zone_quarters_at_half_of_the_last_place(spark, tmp_path):
+    """One value in each field, so that no sum is open: the mean is rounded as in the SQL."""
+    rows = [(i, 1, 1, 0.1, 60000.0, (2 * i + 1) / 20000) for i in range(100000, 400000, 199) for _ in range(2)]
+    assert against_sql(spark, tmp_path, rows) is None
+
+
 def test_histogram_stats_at_the_shares(spark, tmp_path):
     """Bins of exactly a tenth, four tenths, four tenths and a tenth of the weight: the shares are reached at the first, second and third."""
     rng, rows = random.Random(3), []

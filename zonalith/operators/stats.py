@@ -15,9 +15,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from zonalith import constants as C
 
 
+#: The decimal of a weight below a million, to 12 places.
+EXACT = "decimal(18,12)"
+
+
 def exact(weight: Column) -> Column:
     """A weight below a million to 12 places, as a decimal: sums of it are the same in any order of the rows."""
-    return weight.cast("decimal(18,12)")
+    return weight.cast(EXACT)
 
 
 def unweighted_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from zonalith import constants as C
@@ -11,17 +13,29 @@ from zonalith.operators import stats
 def quarters(cells: DataFrame, key: str, row: str, col: str, weight: str, coverage: str, values: dict[str, str]) -> DataFrame:
     """AG16-AG17: one row for each field and quarter: interior cells, weight and weighted means (NULL with fewer than two
     interior cells). Rows below the weighted centre row are north, columns from the centre on are east. Sides are told by exact
-    sums, weights to 12 places: cells right at the centre do not change sides with the order of the rows."""
+    sums, weights to 12 places: cells right at the centre do not change sides with the order of the rows. Fields with a weight of
+    a million or a place of a thousand million or more, either sign, have float sums."""
     by = Window.partitionBy(key)
     w = F.col(weight)
     first = next(iter(values.values()))
-    r, c, k = F.col(row).cast("decimal(9,0)"), F.col(col).cast("decimal(9,0)"), stats.exact(w)
-    own = cells.withColumn("sr", F.sum(r * k).over(by)).withColumn("sc", F.sum(c * k).over(by)).withColumn("sw", F.sum(k).over(by))
-    none = F.col("sw") == 0  # no centre: all cells are in one quarter
-    quarter = F.concat(F.when(none | (r * F.col("sw") < F.col("sr")), "N").otherwise("S"), F.when(~none & (c * F.col("sw") >= F.col("sc")), "E").otherwise("W"))
+    r, c, k = F.col(row).try_cast("decimal(9,0)"), F.col(col).try_cast("decimal(9,0)"), w.try_cast(stats.EXACT)
+    lost = lambda x, own: x.isNull() & own.isNotNull()
+    sums = {"sr": r * k, "sc": c * k, "sw": k, "fr": F.col(row) * w, "fc": F.col(col) * w, "fw": w}
+    own = cells.withColumns({n: F.sum(x).over(by) for n, x in sums.items()} | {"fits": ~F.max(lost(r, F.col(row)) | lost(c, F.col(col)) | lost(k, w)).over(by)})
+    sw, fw = F.col("sw"), F.col("fw")
+
+    def side(is_on, place, x, s, f):
+        """Whether a place is on that side of s / sw: a negative sw turns the comparison round, with 0 the centre is infinitely far."""
+        far = lambda total: is_on(F.lit(0), F.when(F.col(total) < 0, -1).otherwise(1))
+        exact = F.when(sw > 0, is_on(x * sw, F.col(s))).when(sw < 0, is_on(F.col(s), x * sw)).otherwise(far(s))
+        floats = F.when(fw != 0, is_on(place, F.try_divide(f, fw))).otherwise(far(f))
+        return F.when(place.isNotNull(), F.when(F.col("fits"), exact).otherwise(floats))
+
+    north, east = side(operator.lt, F.col(row), r, "sr", "fr"), side(operator.ge, F.col(col), c, "sc", "fc")
+    quarter = F.concat(F.when(north, "N").otherwise("S"), F.when(east, "E").otherwise("W"))
     interior = (F.col(coverage) >= C.INTERIOR_COVERAGE) & (w > 0) & F.col(first).isNotNull()
     mean = lambda c: F.try_divide(F.sum(F.when(F.col(c).isNotNull() & (w > 0), F.col(c) * w)), F.sum(F.when(F.col(c).isNotNull() & (w > 0), w)))
-    out = own.where("sw is not null").groupBy(key, quarter.alias("quarter")).agg(F.count_if(interior).alias("interior_cells"), F.round(F.sum(w), 3).alias("epc"), *[mean(c).alias(n) for n, c in values.items()])
+    out = own.where("fw is not null").groupBy(key, quarter.alias("quarter")).agg(F.count_if(interior).alias("interior_cells"), F.round(F.sum(w), 3).alias("epc"), *[mean(c).alias(n) for n, c in values.items()])
     enough = F.col("interior_cells") >= C.ZONE_MIN_QUARTER
     return out.select(key, "quarter", "interior_cells", "epc", *[F.when(enough, F.col(n)).alias(n) for n in values])
 

@@ -299,8 +299,10 @@ qs AS (SELECT field, CASE WHEN r < r0 THEN 'N' ELSE 'S' END || CASE WHEN c >= c0
 @query(f"WITH {B.CELLS_SQL}, {QUARTERS} SELECT field, quarter, interior_cells, round(epc0, 3) AS epc, round(CASE WHEN interior_cells >= 2 THEN ndvi END, 6) AS ndvi, round(CASE WHEN interior_cells >= 2 THEN ndre END, 6) AS ndre, round(CASE WHEN interior_cells >= 2 THEN ndmi END, 6) AS ndmi FROM qs")
 def zone_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AG16, AG17."""
-    q = zones.quarters(B.ndvi(spark, sf_dir), "field", "r", "c", "w", "w", {"ndvi": "v", "ndre": "g", "ndmi": "b"})
-    return rounded(q, ["field", "quarter"])
+    means = {"ndvi": "v", "ndre": "g", "ndmi": "b"}
+    q = zones.quarters(B.ndvi(spark, sf_dir), "field", "r", "c", "w", "w", means)
+    # weights in tenths make means that are right on half of the sixth place: rounded as the SQL does, by their product with 10^6
+    return q.withColumns({m: F.round(F.col(m) * 1e6) / 1e6 for m in means})
 
 
 @query(
